@@ -41,10 +41,14 @@ def crosswalk(frame: DataFrame, year: str = "cw_year") -> tuple[DataFrame, DataF
 
 
 def candidates(directory: DataFrame) -> DataFrame:
-    """Per (year, opeid8): sorted candidate units and the only unit, if there is one."""
+    """Per (year, opeid8): number of candidate units, those that are no offices, and the only unit.
+
+    A candidate set is told by its counts; membership of a unit is told by the unit's own
+    record.  So an id that a tenth of all units carry is one row, never a collected list.
+    """
     known = directory.where("opeid8 IS NOT NULL")
-    sets = known.groupBy(F.col("ipeds_year").alias("y"), "opeid8").agg(F.array_sort(F.collect_set("unitid")).alias("units"))
-    return sets.withColumn("n", F.size("units")).withColumn("only", F.when(F.col("n") == 1, F.col("units")[0]))
+    admin = F.coalesce(ids.integral(F.col("sector")) == 0, F.lit(False))
+    return known.groupBy(F.col("ipeds_year").alias("y"), "opeid8").agg(F.count(F.lit(1)).alias("n"), F.count_if(~admin).alias("n_not_admin"), F.when(F.count(F.lit(1)) == 1, F.min("unitid")).alias("only"))
 
 
 def base_match(panel: DataFrame, directory: DataFrame, anchor: str = "start") -> DataFrame:
@@ -138,58 +142,73 @@ def candidate_ledger(panel: DataFrame, directory: DataFrame) -> DataFrame:
 
 
 def resolve(base: DataFrame, directory: DataFrame, records: DataFrame, relations: DataFrame, descriptors: DataFrame | None = None) -> DataFrame:
-    """Annual resolution from directory candidates and official sites (see the status ladder).
+    """Annual resolution from directory candidates (h) and official sites (s); the first status that holds.
 
-    ``base`` is a table of :func:`base_match`; ``descriptors`` may bring school, state and
-    school_type per (opeid8, award_year) for the geography and placeholder overrides.
+    ``base`` is a table of :func:`base_match`; ``directory`` is unique by year and unit;
+    ``descriptors`` may bring school, state and school_type per (opeid8, award_year) for the
+    geography and placeholder overrides.
     """
-    exact = candidates(directory).select(F.col("y").alias("hy"), F.col("opeid8").alias("ho"), F.col("units").alias("h"))
-    sites = relations.where(F.col("relation_type").isin("primary_match", "additional_match") & F.col("unitid").isNotNull()).groupBy(F.col("cw_year").alias("sy"), F.col("opeid8").alias("so")).agg(F.array_sort(F.collect_set("unitid")).alias("s"))
+    h = candidates(directory).select(F.col("y").alias("hy"), F.col("opeid8").alias("ho"), F.col("n").alias("n_h"), "n_not_admin", F.col("only").alias("only_h"))
+    own = relations.where(F.col("relation_type").isin("primary_match", "additional_match") & F.col("unitid").isNotNull())
+    s = own.select("cw_year", "opeid8", "unitid").distinct().groupBy(F.col("cw_year").alias("sy"), F.col("opeid8").alias("so")).agg(F.count(F.lit(1)).alias("n_s"), F.when(F.count(F.lit(1)) == 1, F.min("unitid")).alias("only_s"))
     official = records.select(F.col("cw_year").alias("oy"), F.col("opeid8").alias("oo"), F.coalesce(F.lower(F.col("cw_site_parse_complete").cast("string")).isin("true", "1"), F.lit(False)).alias("complete"))
-    empty = F.expr("cast(array() as array<bigint>)")
-    j = base.join(exact, (F.col("ipeds_year") == F.col("hy")) & (F.col("opeid8") == F.col("ho")), "left")
-    j = j.join(sites, (F.col("ipeds_year") == F.col("sy")) & (F.col("opeid8") == F.col("so")), "left")
-    j = j.join(official, (F.col("ipeds_year") == F.col("oy")) & (F.col("opeid8") == F.col("oo")), "left")
-    j = j.withColumn("h", F.coalesce("h", empty)).withColumn("s", F.coalesce("s", empty)).drop("hy", "ho", "sy", "so", "oy", "oo")
-    known = directory.select(F.col("ipeds_year").alias("ky"), F.col("unitid").alias("ku"), F.col("stabbr").alias("k_state"), F.col("instnm").alias("k_name"), (ids.integral(F.col("sector")) == 0).alias("k_admin"))
-    sector = directory.where("opeid8 IS NOT NULL").groupBy(F.col("ipeds_year").alias("ny"), F.col("opeid8").alias("no")).agg(F.collect_set(F.when(~F.coalesce(ids.integral(F.col("sector")) == 0, F.lit(False)), F.col("unitid"))).alias("not_admin"))
-    j = j.join(sector, (F.col("ipeds_year") == F.col("ny")) & (F.col("opeid8") == F.col("no")), "left").drop("ny", "no").withColumn("not_admin", F.coalesce("not_admin", empty))
-    loaded = F.broadcast(directory.select(F.col("ipeds_year").alias("ly")).distinct())
+    j = base.join(h, (F.col("ipeds_year") == F.col("hy")) & (F.col("opeid8") == F.col("ho")), "left")
+    j = j.join(s, (F.col("ipeds_year") == F.col("sy")) & (F.col("opeid8") == F.col("so")), "left")
+    j = j.join(official, (F.col("ipeds_year") == F.col("oy")) & (F.col("opeid8") == F.col("oo")), "left").drop("hy", "ho", "sy", "so", "oy", "oo")
+    j = j.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_h", "n_s", "n_not_admin")})
+    loaded = F.broadcast(directory.select(F.col("ipeds_year").alias("ly")).distinct())  # one row per calendar year
     j = j.join(loaded, F.col("ipeds_year") == F.col("ly"), "left")
-    guess = F.when(F.size("s") == 1, F.col("s")[0]).when((F.size("s") == 0) & (F.size("h") == 1), F.col("h")[0])
-    j = j.withColumn("guess", guess).join(known, (F.col("ipeds_year") == F.col("ky")) & (F.col("guess") == F.col("ku")), "left")
-    h, s, one = F.col("h"), F.col("s"), F.size("s") == 1
+    j = j.withColumn("guess", F.when(F.col("n_s") == 1, F.col("only_s")).when(F.col("n_s") == 0, F.col("only_h")))
+    admin = F.coalesce(ids.integral(F.col("sector")) == 0, F.lit(False))
+    known = directory.select(F.col("ipeds_year").alias("ky"), F.col("unitid").alias("ku"), F.col("opeid8").alias("k_id"), F.col("stabbr").alias("k_state"), F.col("instnm").alias("k_name"), admin.alias("k_admin"))
+    j = j.join(known, (F.col("ipeds_year") == F.col("ky")) & (F.col("guess") == F.col("ku")), "left")
+    one, member = F.col("n_s") == 1, F.coalesce(F.col("k_id") == F.col("opeid8"), F.lit(False))
+    others = F.col("n_not_admin") - (member & ~F.coalesce("k_admin", F.lit(False))).cast("int")
     status = (
         F.when(F.col("complete").isNotNull() & ~F.col("complete"), "crosswalk_site_parse_incomplete")
-        .when(F.size(s) > 1, "multiple_official_site_unitids")
-        .when(one & (F.size(h) > 0) & ~F.arrays_overlap(h, s), "directory_crosswalk_identity_conflict")
-        .when(one & (F.size(h) > 1) & (F.size(F.array_except(F.col("not_admin"), s)) > 0), "multiple_nonadministrative_directory_unitids")
+        .when(F.col("n_s") > 1, "multiple_official_site_unitids")
+        .when(one & (F.col("n_h") > 0) & ~member, "directory_crosswalk_identity_conflict")
+        .when(one & (F.col("n_h") > 1) & (others > 0), "multiple_nonadministrative_directory_unitids")
         .when(one & F.col("ku").isNull(), "crosswalk_site_missing_annual_directory")
-        .when(one & F.arrays_overlap(h, s), "official_site_and_directory_agree")
+        .when(one & member, "official_site_and_directory_agree")
         .when(one, "official_site_alias_annual_unitid_verified")
-        .when(F.size(h) == 1, "unique_annual_directory_only")
-        .when(F.size(h) > 1, "multiple_exact_directory_unitids")
+        .when(F.col("n_h") == 1, "unique_annual_directory_only")
+        .when(F.col("n_h") > 1, "multiple_exact_directory_unitids")
         .when(F.col("ly").isNull(), "annual_directory_unavailable")
         .otherwise("no_annual_site_match")
     )
-    assigned = status.isin("official_site_and_directory_agree", "official_site_alias_annual_unitid_verified", "unique_annual_directory_only")
-    j = j.withColumn("status", status).withColumn("assigned", F.when(assigned, F.col("guess")))
+    j = j.withColumn("status", status)
+    assigned = F.col("status").isin("official_site_and_directory_agree", "official_site_alias_annual_unitid_verified", "unique_annual_directory_only")
+    j = j.withColumn("assigned", F.when(assigned, F.col("guess")))
     conflict, placeholder, likeness = F.lit(False), F.lit(False), F.lit(None).cast("double")
     if descriptors is not None:
         j = j.join(descriptors.select("opeid8", "award_year", F.col("school").alias("d_school"), F.col("state").alias("d_state"), F.col("school_type").alias("d_type")), ["opeid8", "award_year"], "left")
         place = scope.geography([F.col("d_state")], [F.col("d_type")])
         at_home = F.upper(F.btrim("k_state")).isin(*scope.STATES, *scope.TERRITORIES)
-        conflict = F.col("assigned").isNotNull() & F.coalesce(((place == "foreign_explicit") & at_home) | (place.isin("us_states_dc", "territories_and_freely_associated_states") & (F.upper(F.btrim("k_state")) == "FC")), F.lit(False))
+        abroad = F.upper(F.btrim("k_state")) == "FC"
+        clash = ((place == "foreign_explicit") & at_home) | (place.isin("us_states_dc", "territories_and_freely_associated_states") & abroad)
+        conflict = F.col("assigned").isNotNull() & F.coalesce(clash, F.lit(False))
         placeholder = (F.col("opeid8") == "88888800") & (F.upper(F.btrim(F.coalesce("d_school", F.lit("")))) == "DEFAULT SCHOOL FOR CONSOLIDATED LOANS")
         likeness = text.name_similarity(text.name_key(F.col("d_school")), text.name_key(F.col("k_name")))
     final = F.when(placeholder, "noninstitutional_source_placeholder").when(conflict, "fsa_ipeds_geography_identity_conflict").otherwise(F.col("status"))
     unit = F.when(~placeholder & ~conflict, F.col("assigned"))
-    return j.select(
-        "opeid8", "award_year", "ipeds_year", F.col("unitid").alias("ipeds_directory_unitid"), unit.alias("unitid"), final.alias("ipeds_resolution_status"),
-        h.alias("directory_candidate_unitids"), s.alias("crosswalk_site_unitids"),
-        (unit.isNotNull() & ~F.coalesce(F.col("k_admin"), F.lit(False))).alias("ipeds_annual_identity_eligible"),
-        likeness.alias("name_similarity"), (likeness < 0.5).alias("name_review_required"), "strict_exclusion_reasons", "strict_eligible",
-    )
+    eligible = unit.isNotNull() & ~F.coalesce("k_admin", F.lit(False))
+    same = F.coalesce(unit == F.col("unitid"), F.lit(False))
+    out = j.select(
+        "opeid8",
+        "award_year",
+        "ipeds_year",
+        F.col("unitid").alias("ipeds_directory_unitid"),
+        unit.alias("__unit"),
+        final.alias("ipeds_resolution_status"),
+        F.col("n_h").alias("directory_candidate_count"),
+        F.col("n_s").alias("crosswalk_site_count"),
+        eligible.alias("ipeds_annual_identity_eligible"),
+        likeness.alias("name_similarity"),
+        "strict_exclusion_reasons",
+        (F.col("strict_eligible") & eligible & same).alias("strict_eligible"),
+    )
+    return out.withColumn("name_review_required", F.col("name_similarity") < 0.5).withColumnRenamed("__unit", "unitid")
 
 
 def reconcile(bridge: DataFrame, directory: DataFrame, relations: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelwright.functions import clean
 from panelwright.operators import drift, hierarchy, history, orphans, profile
 from panelwright.operators.directory import current_codes
+from panelwright.queries import general_sql
 from panelwright.session import cut, table
 
 
@@ -144,4 +145,4 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_unified, p1_alternatives, p2_found, p2_tree, p2_descendants, p2_loops, p3_found, p3_history, p4_found, p4_profile, p4_changes, p5_found, p5_report)}
-SQL: dict[str, str] = {}
+SQL = general_sql.SQL
