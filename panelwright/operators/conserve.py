@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Columns compared by one aggregate; wider tables take several, below the limit of code generation.
+#: Columns packed into one struct, below the limit of code generation.
 COLUMNS_AT_ONCE = 90
 
 
@@ -13,27 +13,32 @@ def cell_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list[
     """(column, compared_rows, mismatched_cells) of two tables with equal keys.
 
     Cells are equal if both are null, both NaN, or the same value; nothing is rounded.  Rows
-    on one side only count as mismatches of every column.  Types must be equal.
+    on one side only count as mismatches of every column.  Types must be equal.  There is one
+    join whatever the number of columns: they are packed into structs, rows whose structs are
+    equal are done, and only the others are taken apart.
     """
     columns = columns or [c for c in a.columns if c not in keys]
     ta, tb = dict(a.dtypes), dict(b.dtypes)
     other = [c for c in columns if ta[c] != tb.get(c)]
     if other:
         raise TypeError(f"columns of different types: {other}")
-    parts = []
-    for i in range(0, len(columns), COLUMNS_AT_ONCE):
-        some = columns[i : i + COLUMNS_AT_ONCE]
-        x = a.select(*keys, *[F.col(c).alias(f"a__{c}") for c in some]).withColumn("__a", F.lit(True))
-        y = b.select(*keys, *[F.col(c).alias(f"b__{c}") for c in some]).withColumn("__b", F.lit(True))
-        j = x.join(y, keys, "full")
-        one_side = F.col("__a").isNull() | F.col("__b").isNull()
-        counts = j.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(one_side | ~F.col(f"a__{c}").eqNullSafe(F.col(f"b__{c}"))).alias(c) for c in some])
-        told = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("bad")) for c in some]))
-        parts.append(counts.select("__n", told.alias("s")).select(F.col("s.column").alias("column"), F.col("__n").alias("compared_rows"), F.col("s.bad").alias("mismatched_cells")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    groups = [columns[i : i + COLUMNS_AT_ONCE] for i in range(0, len(columns), COLUMNS_AT_ONCE)]
+
+    def packed(df: DataFrame, side: str) -> DataFrame:
+        return df.select(*keys, *[F.struct(*[F.col(c) for c in g]).alias(f"{side}{i}") for i, g in enumerate(groups)])
+
+    j = packed(a, "__a").join(packed(b, "__b"), keys, "full")
+    same, names = F.lit(True), []
+    for i, g in enumerate(groups):
+        x, y = F.col(f"__a{i}"), F.col(f"__b{i}")
+        same = same & x.isNotNull() & y.isNotNull() & x.eqNullSafe(y)
+        names += [F.when(x.isNull() | y.isNull() | ~x[c].eqNullSafe(y[c]), F.lit(c)) for c in g]
+    told = F.when(same, F.array(F.lit("*"))).otherwise(F.concat(F.array(F.lit("*")), F.array_compact(F.array(*names))))
+    counts = j.select(F.explode(told).alias("column")).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    every = a.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    total = counts.where("column = '*'").select(F.col("n").alias("compared_rows"))
+    out = every.join(counts.where("column <> '*'"), "column", "left").join(F.broadcast(total), how="left")  # one row
+    return out.select("column", F.coalesce("compared_rows", F.lit(0)).alias("compared_rows"), F.coalesce("n", F.lit(0)).alias("mismatched_cells"))
 
 
 def sums_kept(a: DataFrame, b: DataFrame, group: str, measures: dict[str, float]) -> DataFrame:

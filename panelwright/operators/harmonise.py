@@ -163,4 +163,4 @@ def missing_policy(values: DataFrame, lineage: DataFrame, dictionary: DataFrame)
         .when((F.size("reasons") > 1) | (F.col("n_other") > 0), "rejected_contradictory_labels")
         .otherwise("rule")
     )
-    return judged.select("analysis_column", *key, "code", "labels", F.try_element_at("reasons", F.lit(1)).alias("reason"), decision.alias("decision"))
+    return judged.select("analysis_column", *key, "code", "labels", F.try_element_at("reasons", F.lit(1)).alias("reason"), F.size("reasons").alias("reasons_count"), decision.alias("decision"))

@@ -636,3 +636,72 @@ def difference_columns(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 4).cast("double").alias("a"), (F.col("o_custkey") % 4).cast("double").alias("b"))
     c = stats.differences(F.col("a"), F.col("b"), F.lit(True))
     return o.select("o_orderkey", *[c[k].alias(k) for k in ("difference", "relative_difference", "exact_equal")])
+
+
+# -- plans over wide tables -------------------------------------------------------------
+@query("SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, CASE WHEN o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0 THEN o_totalprice END AS paid, o_custkey AS party FROM orders")
+def analysis_view(spark, d):
+    """A projection plan with consolidated columns, built in one select."""
+    from panelwright.plans import analysis
+
+    k = F.col("o_orderkey")
+    o = _orders(spark, d).select("o_orderkey", "year", "o_orderstatus", F.when(k % 3 != 0, F.col("o_totalprice")).alias("paid_a"), F.when(k % 2 == 0, F.col("o_totalprice")).alias("paid_b"), F.when(F.col("year") <= 1997, F.col("o_custkey")).alias("old"), F.when(F.col("year") > 1997, F.col("o_custkey")).alias("new"), F.lit("x").alias("admin_note"))
+    groups = [
+        {"target": "paid", "sources": ["paid_a", "paid_b"], "method": "coalesce"},
+        {"target": "party", "sources": ["old", "new"], "method": "year_partition", "year_rules": [{"source": "old", "min": 1990, "max": 1997}, {"source": "new", "min": 1998, "max": 2010}]},
+    ]
+    return analysis.build(o, analysis.make_specs(o.columns, groups, dropped=("admin_note",)), "year")
+
+
+_POLICY = """val AS (SELECT p_partkey % 200 AS v, p_size AS y, CAST(p_partkey % 3 - 2 AS VARCHAR) AS code, CASE p_partkey % 4 WHEN 0 THEN 'Not applicable' WHEN 1 THEN 'Not applicable' WHEN 2 THEN 'Yes' ELSE 'Not reported' END AS label FROM part),
+ lin AS (SELECT DISTINCT p_partkey % 200 AS v, p_size AS y FROM part WHERE p_partkey % 7 <> 0), dic AS (SELECT DISTINCT p_partkey % 200 AS v, p_size AS y FROM part WHERE p_partkey % 11 <> 0)"""
+
+
+@query(
+    f"""WITH {_POLICY}, r AS (SELECT *, CASE WHEN label = 'Not applicable' THEN 'not_applicable' WHEN label = 'Not reported' THEN 'not_reported' END AS reason FROM val), p AS (SELECT v, y, code, COUNT(DISTINCT reason) AS n, COUNT(*) - COUNT(reason) AS other, MIN(reason) AS reason FROM r GROUP BY v, y, code)
+ SELECT 'V' || CAST(p.v AS VARCHAR) AS analysis_column, CAST(p.y AS INTEGER) AS year, code, CASE WHEN n = 0 THEN 'retained' WHEN lin.v IS NULL OR dic.v IS NULL THEN 'rejected_no_exact_lineage_and_dictionary_key' WHEN n > 1 OR other > 0 THEN 'rejected_contradictory_labels' ELSE 'rule' END AS decision, CASE WHEN n = 1 THEN reason END AS only_reason
+ FROM p LEFT JOIN lin ON lin.v = p.v AND lin.y = p.y LEFT JOIN dic ON dic.v = p.v AND dic.y = p.y"""
+)
+def missing_policy(spark, d):
+    """Rules for missing codes from exact source keys."""
+    p = table(spark, d, "part")
+    v = F.col("p_partkey") % 200
+    name = F.concat(F.lit("V"), v.cast("string"))
+    key = [F.col("p_size").cast("int").alias("year"), F.lit("ic").alias("source_file"), F.lit("T1").alias("access_table_name"), name.alias("varname"), F.lit("1").alias("varnumber")]
+    label = F.when(F.col("p_partkey") % 4 < 2, "Not applicable").when(F.col("p_partkey") % 4 == 2, "Yes").otherwise("Not reported")
+    values = p.select(name.alias("analysis_column"), *key, (F.col("p_partkey") % 3 - 2).cast("string").alias("code"), label.alias("label"))
+    out = harmonise.missing_policy(values, p.where("p_partkey % 7 <> 0").select(*key), p.where("p_partkey % 11 <> 0").select(*key))
+    return out.select("analysis_column", "year", "code", "decision", F.when(F.col("decision") != "retained", F.col("reason")).alias("r"), "reasons_count").select("analysis_column", "year", "code", "decision", F.when(F.col("reasons_count") == 1, F.col("r")).alias("only_reason"))
+
+
+@query(
+    """WITH l AS (SELECT p_brand AS variable, p_size AS scope, p_type AS code, CASE WHEN p_brand = (SELECT MIN(p_brand) FROM part) AND p_partkey % 2 = 0 THEN 'odd label' ELSE 'label ' || p_type END AS label FROM part WHERE NOT (p_brand = (SELECT MAX(p_brand) FROM part) AND p_size = 1)),
+ w AS (SELECT variable, code, COUNT(DISTINCT label) AS n, MIN(label) AS label FROM l GROUP BY variable, code), c AS (SELECT s.variable, bool_and(h.variable IS NOT NULL) AS ok FROM (SELECT DISTINCT p_brand AS variable, p_size AS scope FROM part) s LEFT JOIN (SELECT DISTINCT variable, scope FROM l) h ON h.variable = s.variable AND h.scope = s.scope GROUP BY s.variable)
+ SELECT w.variable, w.code, w.label FROM w JOIN c ON c.variable = w.variable AND c.ok WHERE w.variable NOT IN (SELECT variable FROM w WHERE n > 1)"""
+)
+def stable_value_labels(spark, d):
+    """Labels without conflict that cover every scope of their variable."""
+    from panelwright.plans import analysis
+
+    p = table(spark, d, "part")
+    ends = p.agg(F.min("p_brand").alias("a"), F.max("p_brand").alias("b")).collect()[0]
+    label = F.when((F.col("p_brand") == ends["a"]) & (F.col("p_partkey") % 2 == 0), "odd label").otherwise(F.concat(F.lit("label "), "p_type"))
+    labels_ = p.where(~((F.col("p_brand") == ends["b"]) & (F.col("p_size") == 1))).select(F.col("p_brand").alias("variable"), F.col("p_size").alias("scope"), F.col("p_type").alias("code"), label.alias("label"))
+    return analysis.stable_labels(labels_, p.select(F.col("p_brand").alias("variable"), F.col("p_size").alias("scope")))
+
+
+@query("SELECT 'catalog_' || p_brand AS comparison_id, p_brand AS variable, COUNT(DISTINCT p_size) AS n_years FROM part GROUP BY p_brand")
+def comparability_catalog(spark, d):
+    """A catalog of comparisons with the years in which each variable is defined."""
+    p = table(spark, d, "part")
+    catalog = p.select(F.concat(F.lit("catalog_"), "p_brand").alias("comparison_id"), F.col("p_brand").alias("variable"), F.lit("review").alias("assessment")).distinct()
+    out = benchmark.comparability(catalog, p.select(F.col("p_brand").alias("varname"), F.col("p_size").alias("year")))
+    return out.select("comparison_id", "variable", F.size("dictionary_years").cast("bigint").alias("n_years"))
+
+
+@query()
+def wide_frame_conservation(spark, d):
+    """A table of 600 columns compared with itself in chunks of columns."""
+    o = table(spark, d, "customer")
+    wide = o.select("c_custkey", *[(F.col("c_acctbal") + i).alias(f"m{i}") for i in range(600)])
+    return conserve.cell_differences(wide, wide, ["c_custkey"])
