@@ -42,7 +42,7 @@ def reports(raw: DataFrame) -> DataFrame:
 
 
 def cells(rows: DataFrame) -> DataFrame:
-    """One row per non-null cell: file, report row, header, tag, text and canonical value."""
+    """One row per cell: file, report row, header, tag (null for a null cell) and text."""
     rows.createOrReplaceTempView("__pw_reports")
     spark = rows.sparkSession
     long = spark.sql(
@@ -58,8 +58,7 @@ def cells(rows: DataFrame) -> DataFrame:
         .when(F.col("kind") == "VOID", F.lit(None).cast("string"))
         .otherwise("string")
     )
-    typed = long.select(*FILE, "report_row_id", clean.label(F.col("raw_header")).alias("header"), tag.alias("tag"), "text")
-    return typed.withColumn("canonical", canonical(F.col("text")))
+    return long.select(*FILE, "report_row_id", clean.label(F.col("raw_header")).alias("header"), tag.alias("tag"), "text")
 
 
 def canonical(text: Column) -> Column:
@@ -88,23 +87,23 @@ def listing(schema: DataFrame, seen: DataFrame) -> DataFrame:
     return columns.join(files, FILE)
 
 
-def id_columns(facts: DataFrame) -> DataFrame:
+def id_columns(long: DataFrame) -> DataFrame:
     """The header of each file that identifies institutions.
 
     It is the one whose values look like eight-digit ids (leading zeros may be lost) and
-    repeat least; ties go to the smaller header.
+    repeat least; ties go to the shorter, then the larger header.
     """
+    n = F.col("canonical").try_cast("double")
+    idlike = (n >= 100_000) & (n < 100_000_000) & (n == F.floor(n)) & (n % 100 <= 20)
+    facts = long.where("canonical IS NOT NULL").groupBy(*FILE, "header").agg(F.count(F.lit(1)).alias("n_known"), F.count_if(idlike).alias("n_ids"), F.approx_count_distinct("canonical", 0.05).alias("n_distinct"))
     score = F.col("n_ids") / F.col("n_known") * F.col("n_distinct") / F.col("n_known")
-    best = facts.where("n_known > 0").groupBy(*FILE).agg(F.max_by("header", F.struct(score.alias("s"), (-F.length("header")).alias("l"), F.col("header"))).alias("id_header"))
-    return best
+    return facts.where("n_ids > 0").groupBy(*FILE).agg(F.max_by("header", F.struct(score.alias("s"), (-F.length("header")).alias("l"), F.col("header"))).alias("id_header"))
 
 
 def column_facts(long: DataFrame) -> DataFrame:
-    """Per file and header: tags with counts, and how much its values look like ids."""
+    """Per file and header: how many cells have each tag, and the tag of most."""
     tags = {t: F.count(F.when(F.col("tag") == t, 1)) for t in ("integer", "decimal", "boolean", "string")}
-    n = F.col("canonical").try_cast("double")
-    idlike = (n >= 100_000) & (n < 100_000_000) & (n == F.floor(n)) & (n % 100 <= 20)
-    facts = long.groupBy(*FILE, "header").agg(*[c.alias(f"n_{t}") for t, c in tags.items()], F.count("canonical").alias("n_known"), F.count(F.when(idlike, 1)).alias("n_ids"), F.approx_count_distinct("canonical", 0.02).alias("n_distinct"))
+    facts = long.groupBy(*FILE, "header").agg(*[c.alias(f"n_{t}") for t, c in tags.items()])
     ranked = F.array(*[F.struct(F.col(f"n_{t}").alias("n"), F.lit(t).alias("t")) for t in tags])
     return facts.withColumn("tag", F.when(F.array_max(ranked)["n"] > 0, F.array_max(ranked)["t"]))
 
@@ -114,11 +113,11 @@ def _words(h: Column) -> Column:
     return F.array_join(F.array_sort(F.split(F.btrim(plain), " ")), "")
 
 
-def renames(columns: DataFrame, long: DataFrame, ids: DataFrame) -> DataFrame:
+def renames(columns: DataFrame, long: DataFrame) -> DataFrame:
     """(series_id, year, previous_column, source_column): the same field under another header.
 
-    Candidates are headers that went and headers that came in one file.  Evidence is the
-    share of institutions in both files whose values agree; headers are matched one to one,
+    Candidates are headers that went and headers that came in one file; only cells of files
+    with candidates are looked at.  Evidence is the share of institutions in both files whose values agree; headers are matched one to one,
     best first on both sides.  Where fewer than LEAST institutions can be compared the
     likeness of the header words decides.
     """
@@ -129,8 +128,10 @@ def renames(columns: DataFrame, long: DataFrame, ids: DataFrame) -> DataFrame:
     went = prev.join(cur, key, "left_anti").withColumnRenamed("header", "old")
     pairs = cut(came.join(went, ["series_id", "year", "previous_year"]))  # columns of two files, no rows
     needed = pairs.select("series_id", "year", F.col("new").alias("header")).unionByName(pairs.select("series_id", F.col("previous_year").alias("year"), F.col("old").alias("header"))).distinct()
-    by_row = long.join(ids.withColumnRenamed("id_header", "header"), [*FILE, "header"]).where("canonical IS NOT NULL").select(*FILE, "report_row_id", F.col("canonical").alias("unit"))
-    values = long.join(needed, [*FILE, "header"], "left_semi").where("canonical IS NOT NULL").join(by_row, [*FILE, "report_row_id"])
+    some = long.where("tag IS NOT NULL").join(needed.select(*FILE).distinct(), FILE, "left_semi")
+    some = cut(some.select(*FILE, "report_row_id", "header", canonical(F.col("text")).alias("canonical")).where("canonical IS NOT NULL"))
+    by_row = some.join(id_columns(some).withColumnRenamed("id_header", "header"), [*FILE, "header"]).select(*FILE, "report_row_id", F.col("canonical").alias("unit"))
+    values = some.join(needed, [*FILE, "header"], "left_semi").join(by_row, [*FILE, "report_row_id"])
     values = values.groupBy(*FILE, "unit", "header").agg(F.max("canonical").alias("value"))
     new = pairs.join(values.select("series_id", "year", F.col("header").alias("new"), "unit", F.col("value").alias("v")), ["series_id", "year", "new"])
     both = new.join(values.select("series_id", F.col("year").alias("previous_year"), F.col("header").alias("old"), "unit", F.col("value").alias("u")), ["series_id", "previous_year", "old", "unit"])
@@ -245,34 +246,37 @@ def concepts() -> list[str]:
     return [*ATTRIBUTES, *[f"{p}_{k}" for p in programs for k in ("count", "amount")]]
 
 
-def _is_column(name: str):
-    return lambda e: e["column"] == F.lit(name)
-
-
 def unified(rows: DataFrame, long: DataFrame, named: DataFrame) -> DataFrame:
     """All report rows with one set of columns.
 
     Every column is a tagged union: the tag of the cell as written, its typed branches
     (integer, decimal, boolean, string) and the canonical conversion.  Fields whose first
-    header has no concept keep their whole content in ``other_fields``, so no cell is lost.
+    header has no concept, or one that another header of the file has, keep their whole
+    content in ``other_fields``, so no cell is lost.
     """
     told = named.withColumn("column", concept(F.col("field")))
-    cell = long.join(told, [*FILE, "header"])
+    place = Window.partitionBy(*FILE, "column").orderBy("header")  # headers of one file
+    told = told.withColumn("column", F.when(F.row_number().over(place) == 1, F.col("column")))
+    cell = long.where("tag IS NOT NULL").join(told, [*FILE, "header"])
     branch = F.struct(
         F.col("tag"),
         F.when(F.col("tag") == "integer", F.col("text").try_cast("bigint")).alias("integer_value"),
         F.when(F.col("tag") == "decimal", F.col("text").try_cast("double")).alias("decimal_value"),
         F.when(F.col("tag") == "boolean", F.col("text").try_cast("boolean")).alias("boolean_value"),
         F.when(F.col("tag") == "string", F.col("text")).alias("string_value"),
-        F.col("canonical"),
+        canonical(F.col("text")).alias("canonical"),
+    )
+    cell = cell.select(*FILE, "report_row_id", "column", "field", branch.alias("value"))
+    entry = F.struct(F.col("column"), F.col("value"))
+    rest = F.struct(F.col("field"), F.col("value"))
+    per_row = cell.groupBy(*FILE, "report_row_id").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("column").isNotNull(), entry))).alias("told"),
+        F.array_sort(F.collect_list(F.when(F.col("column").isNull(), rest))).alias("other_fields"),
     )
-    entry = F.struct(F.col("column"), F.col("field"), branch.alias("value"))
-    per_row = cell.groupBy(*FILE, "report_row_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     base = rows.select("report_row_id", "family", "filename", "source_excel_row", *FILE)
     joined = base.join(per_row, [*FILE, "report_row_id"], "left")
-    pick = {c: F.try_element_at(F.filter("entries", _is_column(c)), F.lit(1))["value"] for c in concepts()}
-    rest = F.transform(F.filter("entries", lambda e: e["column"].isNull()), lambda e: F.struct(e["field"].alias("field"), e["value"].alias("value")))
-    return joined.select("report_row_id", "series_id", "family", F.col("year").alias("award_year_start"), "filename", "source_excel_row", *[v.alias(k) for k, v in pick.items()], rest.alias("other_fields"))
+    picked = [F.try_element_at("told", F.lit(c)).alias(c) for c in concepts()]
+    return joined.select("report_row_id", "series_id", "family", F.col("year").alias("award_year_start"), "filename", "source_excel_row", *picked, "other_fields")
 
 
 def alternatives(long: DataFrame, named: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def _drift(spark: SparkSession, d: str):
     long = cut(drift.cells(rows))
     facts = cut(drift.column_facts(long))
     columns = cut(drift.listing(table(spark, d, "schema_availability"), facts))
-    renamed = cut(drift.renames(columns, long, drift.id_columns(facts)))
+    renamed = cut(drift.renames(columns, long))
     return rows, long, facts, columns, renamed
 
 
