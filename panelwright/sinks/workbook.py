@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import zipfile
 from collections.abc import Iterable
+from itertools import chain
 from xml.sax.saxutils import escape
 
 MAX_ROWS, MAX_COLUMNS, MAX_TEXT = 1_048_576, 16_384, 32_767
@@ -66,7 +68,7 @@ class Writer:
         n = 1
         with self.zip.open(f"xl/worksheets/sheet{len(self.names)}.xml", "w") as f:
             f.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{_NS}"><sheetData>'.encode())
-            for i, row in enumerate([head, *[]] if rows is None else _chain(head, rows), 1):
+            for i, row in enumerate(chain([head], rows), 1):
                 if i > MAX_ROWS:
                     raise ValueError("too many rows for a sheet")
                 cells = "".join(_cell(f"{column_letters(j)}{i}", v) for j, v in enumerate(row))
@@ -88,17 +90,12 @@ class Writer:
         self.zip.close()
 
 
-def _chain(head, rows):
-    yield head
-    yield from rows
-
-
 def write(path: str, columns: list[str], rows: Iterable[tuple], book: list[dict[str, str]], labels: list[dict[str, object]], readme: list[str], ledger: bool = False) -> list[dict[str, object]]:
     """Sheets Data, Codebook, ValueLabels, README; gives the ledger of cells that needed one.
 
     Without ``ledger`` a cell that would not come back raises.  With it the sheet shows the
     exact number as text, or the text as JSON, and the ledger holds row, column, kind and
-    exact value.
+    exact value.  The file takes its place when it is whole.
     """
     noted: list[dict[str, object]] = []
 
@@ -124,12 +121,19 @@ def write(path: str, columns: list[str], rows: Iterable[tuple], book: list[dict[
                 out.append(shown)
             yield out
 
-    w = Writer(path)
-    w.sheet("Data", columns, safe())
-    w.sheet("Codebook", list(book[0]) if book else ["canonical_name"], [list(b.values()) for b in book])
-    w.sheet("ValueLabels", list(labels[0]) if labels else ["canonical_name"], [list(b.values()) for b in labels])
-    w.sheet("README", ["text"], [[line] for line in readme])
-    w.close()
+    part = f"{path}.part"
+    w = Writer(part)
+    try:
+        w.sheet("Data", columns, safe())
+        w.sheet("Codebook", list(book[0]) if book else ["canonical_name"], [list(b.values()) for b in book])
+        w.sheet("ValueLabels", list(labels[0]) if labels else ["canonical_name"], [list(b.values()) for b in labels])
+        w.sheet("README", ["text"], [[line] for line in readme])
+        w.close()
+    except Exception:
+        w.zip.close()
+        os.remove(part)
+        raise
+    os.replace(part, path)
     return noted
 
 
@@ -144,8 +148,6 @@ def per_year(df, year: str, folder: str, book: list[dict[str, str]], readme: lis
 
     A sheet holds about a million rows at most, which bounds a year's group; more raise.
     """
-    import os
-
     import pandas as pd
 
     columns = df.columns
