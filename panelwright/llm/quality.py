@@ -38,13 +38,14 @@ _CSV = re.compile(r'"?[^",;\s][^",;]*"?([,;])(?:"?[^",;]*"?\1)+"?[^",;]*"?$')
 _QUOTED = re.compile(r'"[^"]*"(?:[;,\t]"[^"]*")+$')
 _GAP = re.compile(r" {2,}")
 _HEX = re.compile(r"(?:0x[0-9a-f]{4,}\b.*|(?:[0-9a-f]{2}[ :]){5,}[0-9a-f]{0,2})$", re.I)
+_CLUSTER = re.compile(r"[bcdfgjklmnpqrtvwxz]{5}|(.)\1\1", re.I)
 _VOWEL = re.compile(r"[aeiouyáéíóúäöüàèìòùâêîôûëïœæå]", re.I)
 
 
 def odd_word(w: str) -> bool:
-    """A run of letters that is no word of a European language: wild case, no vowel, too long."""
+    """A run of letters that is no word of a European language: wild case, no vowel, hard clusters, too long."""
     n = len(w)
-    if n > 24:
+    if n > 24 or _CLUSTER.search(w):
         return True
     if n >= 4 and not _VOWEL.search(w):
         return True
@@ -235,6 +236,8 @@ def merged(parts: DataFrame, common: frozenset[str], key: str = "doc_id") -> Dat
 
 #: Share of own writing from which a text is mainly prose, and share of repeated words of filler.
 PROSE, REPEATED = 0.5, 0.3
+#: Prose of any length has frequent words; text of WORDS words or more with a smaller share is noise.
+WORDS, FREQUENT = 6, 0.12
 
 
 def statistics(counts: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -247,12 +250,15 @@ def statistics(counts: DataFrame, key: str = "doc_id") -> DataFrame:
         return F.when(b > 0, a / b)
 
     weighed = n("prose_chars") + n("list_chars") + n("table_chars") + n("junk_chars")
-    best = F.greatest(n("list_chars"), n("table_chars"), n("junk_chars"))
+    noise = (n("words") >= WORDS) & (n("common_words") < FREQUENT * n("words"))
+    prose = F.when(noise, 0.0).otherwise(n("prose_chars"))
+    junk = n("junk_chars") + n("prose_chars") - prose
+    best = F.greatest(n("list_chars"), n("table_chars"), junk)
     filler = (n("words") >= 8) & (n("repeats") >= REPEATED * n("words"))
     kind = (
         F.when(weighed == 0, F.lit(None).cast("string"))
         .when(filler, "junk")
-        .when(n("prose_chars") >= PROSE * weighed, "prose")
+        .when(prose >= PROSE * weighed, "prose")
         .when(n("table_chars") == best, "table")
         .when(n("list_chars") == best, "list")
         .otherwise("junk")
@@ -268,9 +274,9 @@ def statistics(counts: DataFrame, key: str = "doc_id") -> DataFrame:
         ratio(n("ended_lines"), n("lines")).alias("ended_line_share"),
         ratio(n("common_words"), n("words")).alias("common_word_share"),
         ratio(n("repeats"), n("words")).alias("repeat_share"),
-        ratio(n("prose_chars"), weighed).alias("prose_share"),
+        ratio(prose, weighed).alias("prose_share"),
         ratio(n("list_chars"), weighed).alias("list_share"),
         ratio(n("table_chars"), weighed).alias("table_share"),
-        ratio(n("junk_chars"), weighed).alias("junk_share"),
+        ratio(junk, weighed).alias("junk_share"),
         kind.alias("kind"),
     )
