@@ -32,13 +32,16 @@ AGREE, LEAST, NEAR = 0.6, 3, 0.35
 ALIKE = 0.75
 
 
-def reports(raw: DataFrame) -> DataFrame:
+def reports(raw: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Report rows once per report_row_id, with the start year and the payload as a variant.
 
+    ``files`` (series_id, year) keeps the rows of these files only, before anything is parsed.
     A payload that is null or no JSON object keeps its row and has no cells.
     """
-    rows = deduplicated(raw, "report_row_id", ["series_id", "family", "award_year", "filename", "source_excel_row", "payload"])
-    return rows.withColumn("year", clean.award_start(F.col("award_year"))).withColumn("cells", F.expr("try_parse_json(payload)"))
+    dated = raw.withColumn("year", clean.award_start(F.col("award_year")))
+    some = dated.join(files, FILE, "left_semi") if files is not None else dated
+    rows = deduplicated(some, "report_row_id", [*FILE, "family", "filename", "source_excel_row", "payload"])
+    return rows.withColumn("cells", F.expr("try_parse_json(payload)"))
 
 
 def cells(rows: DataFrame) -> DataFrame:
@@ -113,7 +116,7 @@ def _words(h: Column) -> Column:
     return F.array_join(F.array_sort(F.split(F.btrim(plain), " ")), "")
 
 
-def renames(columns: DataFrame, long: DataFrame) -> DataFrame:
+def renames(columns: DataFrame, raw: DataFrame) -> DataFrame:
     """(series_id, year, previous_column, source_column): the same field under another header.
 
     Candidates are headers that went and headers that came in one file; only cells of files
@@ -128,7 +131,7 @@ def renames(columns: DataFrame, long: DataFrame) -> DataFrame:
     went = prev.join(cur, key, "left_anti").withColumnRenamed("header", "old")
     pairs = cut(came.join(went, ["series_id", "year", "previous_year"]))  # columns of two files, no rows
     needed = pairs.select("series_id", "year", F.col("new").alias("header")).unionByName(pairs.select("series_id", F.col("previous_year").alias("year"), F.col("old").alias("header"))).distinct()
-    some = long.where("tag IS NOT NULL").join(needed.select(*FILE).distinct(), FILE, "left_semi")
+    some = cells(reports(raw, needed.select(*FILE).distinct())).where("tag IS NOT NULL")
     some = cut(some.select(*FILE, "report_row_id", "header", canonical(F.col("text")).alias("canonical")).where("canonical IS NOT NULL"))
     by_row = some.join(id_columns(some).withColumnRenamed("id_header", "header"), [*FILE, "header"]).select(*FILE, "report_row_id", F.col("canonical").alias("unit"))
     values = some.join(needed, [*FILE, "header"], "left_semi").join(by_row, [*FILE, "report_row_id"])

@@ -14,12 +14,17 @@ from panelwright.session import cut, table
 
 # -- p1 ---------------------------------------------------------------------------------
 def _drift(spark: SparkSession, d: str):
-    rows = drift.reports(table(spark, d, "raw_reports"))
-    long = cut(drift.cells(rows))
+    """(report rows, their cells, facts of columns, columns, renamed columns).
+
+    Facts on columns are materialised, cells are not: they are many times the input, and the
+    second look at them reads the files with renamed columns only.
+    """
+    raw = table(spark, d, "raw_reports")
+    rows = drift.reports(raw)
+    long = drift.cells(rows)
     facts = cut(drift.column_facts(long))
     columns = cut(drift.listing(table(spark, d, "schema_availability"), facts))
-    renamed = cut(drift.renames(columns, long))
-    return rows, long, facts, columns, renamed
+    return rows, long, facts, columns, cut(drift.renames(columns, raw))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

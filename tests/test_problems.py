@@ -219,7 +219,7 @@ def _solve(spark, files):
     long = drift.cells(reports)
     facts = drift.column_facts(long)
     columns = drift.listing(a, facts)
-    renamed = drift.renames(columns, long)
+    renamed = drift.renames(columns, b)
     return reports, long, columns, renamed, drift.changes(columns, facts, renamed)
 
 
@@ -273,7 +273,7 @@ def test_drift_empty(spark):
         long = drift.cells(reports)
         facts = drift.column_facts(long)
         columns = drift.listing(x, facts)
-        assert drift.changes(columns, facts, drift.renames(columns, long)).count() == 0
+        assert drift.changes(columns, facts, drift.renames(columns, y)).count() == 0
 
 
 def test_concepts_of_headers(spark):
