@@ -46,12 +46,8 @@ def reports(raw: DataFrame, files: DataFrame | None = None) -> DataFrame:
 
 def cells(rows: DataFrame) -> DataFrame:
     """One row per cell: file, report row, header, tag (null for a null cell) and text."""
-    rows.createOrReplaceTempView("__pw_reports")
-    spark = rows.sparkSession
-    long = spark.sql(
-        """SELECT series_id, year, report_row_id, x.key AS raw_header, schema_of_variant(x.value) AS kind, cast(x.value AS string) AS text
-           FROM __pw_reports, LATERAL variant_explode(cells) x"""
-    )
+    told = rows.sparkSession.tvf.variant_explode(F.col("cells").outer())
+    long = rows.select(*FILE, "report_row_id", "cells").lateralJoin(told).select(*FILE, "report_row_id", F.col("key").alias("raw_header"), F.schema_of_variant("value").alias("kind"), F.col("value").cast("string").alias("text"))
     big = F.regexp_extract("kind", r"DECIMAL\((\d+),0\)", 1).try_cast("int") >= 19
     tag = (
         F.when(F.col("kind") == "BIGINT", "integer")

@@ -72,6 +72,26 @@ def source_audit(dictionary: DataFrame, lineage: DataFrame) -> DataFrame:
     return j.select("year", "variable", F.coalesce(F.size("origins"), F.lit(0)).alias("lineage_source_count"), status.alias("source_metadata_status"))
 
 
+def definition_rules(dictionary: DataFrame, needed: dict[str, str], refused: str) -> DataFrame:
+    """(year, variable, available, reference_start) from the wording of annual definitions.
+
+    ``dictionary`` has year, variable, title, description and access_table_name.  A variable is
+    available in a year if its wording matches its pattern in ``needed``; wording that matches
+    ``refused`` (another population) raises, as does a second definition of a year.
+    """
+    from panelwright.functions import labels
+
+    words = F.lower(F.concat_ws(" ", "title", "description"))
+    rows = dictionary.where(F.col("variable").isin(*needed)).withColumn("words", words)
+    twice = rows.groupBy("year", "variable").count().where("count > 1").limit(1).count()
+    if twice or rows.where(F.col("words").rlike(refused)).limit(1).count():
+        raise ValueError("an annual definition is ambiguous or describes another population")
+    pattern = F.lit(None).cast("boolean")
+    for name, regex in needed.items():
+        pattern = F.when(F.col("variable") == name, F.col("words").rlike(regex)).otherwise(pattern)
+    return rows.select("year", "variable", pattern.alias("available"), labels.reference_start(F.col("access_table_name")).alias("reference_start"))
+
+
 def codebook(df: DataFrame, definitions: dict[str, str] | None = None) -> list[dict[str, str]]:
     """One entry per column: name, type, portable name, label, family, role of companion columns."""
     from panelwright.functions import names

@@ -208,6 +208,19 @@ def directory_geography(spark, d):
     return _directory(spark, d).groupBy(scope.geography([F.col("stabbr")], []).alias("geography")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    f"""WITH {CURRENT}, k AS (SELECT ipeds_year AS y, {_int('opeflag')} AS f, {_int('sector')} AS s, {_int('cyactive')} AS c, upper(trim(act)) AS a, {_int('newid')} AS n, {_int('deathyr')} AS dy, upper(trim(closedat)) AS cd, {_int('prch_f')} AS p1, {_int('idx_f')} AS i1, {_int('prch_sfa')} AS p2, {_int('idx_sfa')} AS i2 FROM cur)
+ SELECT CAST(y AS INTEGER) AS ipeds_year, COUNT(*) AS n_records, COUNT(*) FILTER (s = 0) AS is_administrative, COUNT(*) FILTER (c IN (0,2,3) OR a IN ('C','D','I','O','W','X')) AS is_inactive, COUNT(*) FILTER (f = 2 OR a = 'G') AS is_branch,
+ COUNT(*) FILTER (NOT coalesce(f = 1 OR (f = 4 AND (y = 2000 OR y >= 2002)) OR (f = 8 AND y >= 2004), FALSE)) AS not_full_participant, COUNT(*) FILTER (p1 > 0 OR i1 > 0 OR p2 > 0 OR i2 > 0) AS has_parent_child,
+ COUNT(*) FILTER (n > 0 OR dy > 0 OR (cd IS NOT NULL AND cd NOT IN ('', '-1', '-2', '-9', 'NAN', 'NONE', 'NA'))) AS merger_or_closure, COUNT(*) FILTER (s BETWEEN 0 AND 9 AND c IN (1,2,3)) AS status_available FROM k GROUP BY y"""
+)
+def directory_flags(spark, d):
+    """Flags of directory records, counted per year."""
+    flags = scope.record_flags(CODES, F.col("ipeds_year"))
+    names = ["is_administrative", "is_inactive", "is_branch", "not_full_participant", "has_parent_child", "merger_or_closure", "status_available"]
+    return _directory(spark, d).groupBy("ipeds_year").agg(F.count(F.lit(1)).alias("n_records"), *[F.count_if(flags[k]).alias(k) for k in names])
+
+
 @query(
     f"""WITH {CURRENT}, r AS (SELECT unitid, ipeds_year - row_number() OVER (PARTITION BY unitid ORDER BY ipeds_year) AS g, ipeds_year AS y FROM cur), i AS (SELECT unitid, MIN(y) AS a, MAX(y) AS b FROM r GROUP BY unitid, g) SELECT unitid, string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE CAST(a AS VARCHAR) || '-' || CAST(b AS VARCHAR) END, ',' ORDER BY a) AS years_in_directory FROM i GROUP BY unitid"""
 )

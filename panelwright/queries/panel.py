@@ -705,3 +705,43 @@ def wide_frame_conservation(spark, d):
     o = table(spark, d, "customer")
     wide = o.select("c_custkey", *[(F.col("c_acctbal") + i).alias(f"m{i}") for i in range(600)])
     return conserve.cell_differences(wide, wide, ["c_custkey"])
+
+
+@query("SELECT 'fam|' || CAST(year(o_orderdate) AS VARCHAR) || '|' || coalesce(CASE WHEN o_orderkey % 5 > 0 THEN 'file.xlsx' END, '') || '|' || CAST(o_orderkey AS VARCHAR) || '|' || CASE WHEN o_custkey % 3 = 0 THEN 'UNITID_ONLY' ELSE lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS source_record_id FROM orders")
+def source_record_ids(spark, d):
+    """Ids of source records from family, year, file, row and id."""
+    o = _orders(spark, d)
+    opeid = F.when(F.col("o_custkey") % 3 == 0, "UNITID_ONLY").otherwise(F.lpad(F.col("o_custkey").cast("string"), 8, "0"))
+    return o.select(ids.source_record_id(F.lit("fam"), F.col("year"), F.when(F.col("o_orderkey") % 5 > 0, "file.xlsx"), F.col("o_orderkey"), opeid).alias("source_record_id"))
+
+
+@query("SELECT doc_id, CAST(len(text) + len(regexp_replace(text, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) AS INTEGER) AS utf16_units FROM documents")
+def utf16_lengths(spark, d):
+    """Lengths of whole texts as a spreadsheet counts them."""
+    return table(spark, d, "documents").select("doc_id", text.utf16_units(F.col("text")).alias("utf16_units"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1) THEN CAST(o_orderkey % 4 - 2 AS BIGINT) END AS category FROM orders")
+def lossless_categories(spark, d):
+    """Integers of canonical spellings only."""
+    k = F.col("o_orderkey") % 4
+    raw = F.when(k < 2, (k - 2).cast("string")).when(k == 2, "01").otherwise("1.0")
+    return table(spark, d, "orders").select("o_orderkey", ids.lossless_integer(raw).alias("category"))
+
+
+@query("SELECT 'SFA' || lpad(CAST(p_size % 100 AS VARCHAR), 2, '0') || lpad(CAST((p_size + p_partkey % 2 + 1) % 100 AS VARCHAR), 2, '0') || '_P1' AS access_table_name, CAST(CASE WHEN p_partkey % 2 = 0 THEN CASE WHEN p_size % 100 >= 80 THEN 1900 ELSE 2000 END + p_size % 100 END AS INTEGER) AS reference_start, COUNT(*) AS n FROM part GROUP BY ALL")
+def reference_year_labels(spark, d):
+    """Reference years told by table names; the second year must follow."""
+    p = table(spark, d, "part")
+    two = lambda c: F.lpad((c % 100).cast("string"), 2, "0")
+    name = F.concat(F.lit("SFA"), two(F.col("p_size")), two(F.col("p_size") + F.col("p_partkey") % 2 + 1), F.lit("_P1"))
+    return p.select(name.alias("access_table_name")).withColumn("reference_start", labels.reference_start(F.col("access_table_name"))).groupBy("access_table_name", "reference_start").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT CAST(p_size AS INTEGER) AS year, p_brand AS variable, MIN(p_partkey) % 3 <> 0 AS available, CAST(NULL AS INTEGER) AS reference_start FROM part GROUP BY p_size, p_brand")
+def definition_rules(spark, d):
+    """Whether annual definitions name the population that is compared."""
+    p = table(spark, d, "part").groupBy(F.col("p_size").cast("int").alias("year"), F.col("p_brand").alias("variable")).agg(F.min("p_partkey").alias("k"))
+    dic = p.select("year", "variable", F.when(F.col("k") % 3 != 0, "All undergraduates").otherwise("Average").alias("title"), F.lit("awarded").alias("description"), F.lit("T").alias("access_table_name"))
+    brands = [r["variable"] for r in dic.select("variable").distinct().collect()]  # a few brands
+    return metadata.definition_rules(dic, {b: "all undergraduate" for b in brands}, "first-time")

@@ -27,6 +27,21 @@ def verify(folder: str, listed: list[dict[str, object]]) -> None:
         raise ValueError(f"missing {sorted(want.keys() - have.keys())}, new {sorted(have.keys() - want.keys())}, changed {changed}")
 
 
+def check_sums(folder: str, name: str = "SHA256SUMS") -> int:
+    """Raises unless every line of a checksum file names a file inside the folder with that hash, once; gives their number."""
+    seen = set()
+    for line in (Path(folder) / name).read_text().splitlines():
+        digest, _, path = line.strip().partition("  ")
+        path = safe_relative(path.lstrip("*"))
+        if path in seen or len(digest) != 64 or sha256(Path(folder) / path) != digest:
+            raise ValueError(f"checksum of {path}")
+        seen.add(path)
+    have = {r["path"] for r in inventory(folder)} - {name}
+    if have != seen:
+        raise ValueError(f"not listed: {sorted(have - seen)}")
+    return len(seen)
+
+
 def safe_relative(path: str) -> str:
     """A relative path that stays inside its folder; else raises."""
     p = Path(path)
