@@ -39,7 +39,7 @@ def reports(raw: DataFrame, files: DataFrame | None = None) -> DataFrame:
     A payload that is null or no JSON object keeps its row and has no cells.
     """
     dated = raw.withColumn("year", clean.award_start(F.col("award_year")))
-    some = dated.join(files, FILE, "left_semi") if files is not None else dated
+    some = dated.where("series_id IS NOT NULL AND year IS NOT NULL").join(files, FILE, "left_semi") if files is not None else dated
     rows = deduplicated(some, "report_row_id", [*FILE, "family", "filename", "source_excel_row", "payload"])
     return rows.withColumn("cells", F.expr("try_parse_json(payload)"))
 

@@ -49,9 +49,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+
+    A checkpointed table still carries the optimiser's estimate of its size and what was
+    inferred about its columns.  Over the rounds of an iteration the estimate of a join is a
+    product of such products, a number whose digits double each round until planning takes
+    minutes.  So the rows are taken over as a table about which nothing is known yet.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    done = df.checkpoint(eager=True)
+    rows = done._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
