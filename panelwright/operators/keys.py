@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-class KeyError_(ValueError):
+class KeyViolation(ValueError):
     """A key is null, repeated or malformed, or a join is not of the declared kind."""
 
 
@@ -37,13 +37,28 @@ def require_key(df: DataFrame, keys: list[str], what: str, positive: list[str] |
     row = violations(df, keys, positive).collect()[0]
     found = {k: row[k] for k in ("null_key_rows", "repeated_keys", "invalid_key_rows") if row[k]}
     if found:
-        raise KeyError_(f"{what}: {', '.join(keys)} is no key: {found}")
+        raise KeyViolation(f"{what}: {', '.join(keys)} is no key: {found}")
     return df
 
 
+def null_safe_left_join(df: DataFrame, marks: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join in which null keys match null keys; ``marks`` is unique by ``keys``.
+
+    Two equal keys of ``df`` need not meet in one task: the optimiser may split a hot key.
+    """
+    renamed = marks.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
+    on = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)))
+    return df.join(renamed, on, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+
+
 def mark_duplicates(df: DataFrame, keys: list[str], out: str = "is_duplicate") -> DataFrame:
-    """True on all rows of a repeated key; null keys are keys like others."""
-    return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
+    """True on all rows of a repeated key; null keys are keys like others.
+
+    Repeated keys are found by a partial aggregate and joined back, so a key of any size is
+    never gathered in one task.
+    """
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    return null_safe_left_join(df, repeated, keys).withColumn(out, F.col("__n").isNotNull()).drop("__n")
 
 
 def checked_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", validate: str = "one_to_one") -> DataFrame:
@@ -55,7 +70,7 @@ def checked_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "l
     """
     clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns} - {c.lower() for c in on}
     if clash:
-        raise KeyError_(f"columns on both sides: {sorted(clash)}")
+        raise KeyViolation(f"columns on both sides: {sorted(clash)}")
     a, b = validate.split("_to_")
     if a == "one":
         require_key_unique(left, on, "left side")
@@ -67,7 +82,7 @@ def checked_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "l
 def require_key_unique(df: DataFrame, keys: list[str], what: str) -> None:
     repeated = violations(df.select(*keys), keys).collect()[0]["repeated_keys"]
     if repeated:
-        raise KeyError_(f"{what}: {repeated} values of {', '.join(keys)} repeat")
+        raise KeyViolation(f"{what}: {repeated} values of {', '.join(keys)} repeat")
 
 
 def indicator_join(left: DataFrame, right: DataFrame, on: list[str], names: tuple[str, str, str] = ("left_only", "right_only", "both"), out: str = "merge_status") -> DataFrame:

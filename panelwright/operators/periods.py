@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions import stats
+from panelwright.operators.keys import null_safe_left_join
 
 
 def offset_join(left: DataFrame, right: DataFrame, unit: str, period: str, right_unit: str, right_period: str, offset: int, how: str = "left", prefix: str = "") -> DataFrame:
@@ -31,9 +32,12 @@ def offsets_join(left: DataFrame, right: DataFrame, unit: str, period: str, righ
 
 
 def common_sample(df: DataFrame, keys: list[str], valid: str, out: str) -> DataFrame:
-    """True on the rows of a key whose every row is valid (null counts as not valid)."""
-    ok = F.coalesce(F.col(valid), F.lit(False))
-    return df.withColumn(out, F.every(ok).over(Window.partitionBy(*keys)))
+    """True on the rows of a key whose every row is valid (null counts as not valid).
+
+    Keys with an invalid row are found by a distinct and joined back; no key is gathered.
+    """
+    bad = df.where(~F.coalesce(F.col(valid), F.lit(False))).select(*keys).distinct().withColumn("__bad", F.lit(True))
+    return null_safe_left_join(df, bad, keys).withColumn(out, F.col("__bad").isNull()).drop("__bad")
 
 
 def dense_summary(rows: DataFrame, base: str, other: str, samples: dict[str, Column], offset: str, year: str, population: str, offsets: list[int], years: list[int], cents: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.operators.keys import KeyError_, require_key
+from panelwright.operators.keys import KeyViolation, require_key
 from panelwright.operators.periods import offset_join
 
 
@@ -22,7 +22,7 @@ def master(left: DataFrame, right: DataFrame, offset: int, unit: str = "UNITID",
     b = right.select(F.col("unitid").alias("__ru"), F.col("award_year_start").alias("__ry"), *[F.col(c).alias(f"fsa__{c}") for c in right.columns])
     names = [c.lower() for c in [*a.columns, *b.columns]]
     if len(names) != len(set(names)):
-        raise KeyError_("column names differ in case only")
+        raise KeyViolation("column names differ in case only")
     j = offset_join(a, b, "unitid", "year", "__ru", "__ry", offset)
     hit = F.col("row_found")
 

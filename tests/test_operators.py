@@ -13,10 +13,10 @@ def test_key_violations_and_joins(spark):
     b = spark.createDataFrame([(1, "p"), (3, "q")], "k int, y string")
     v = keys.violations(a, ["k"]).collect()[0]
     assert (v.n_rows, v.null_key_rows, v.repeated_keys, v.rows_in_repeats) == (4, 1, 1, 2)
-    with pytest.raises(keys.KeyError_):
+    with pytest.raises(keys.KeyViolation):
         keys.checked_join(a, b, ["k"], validate="one_to_one")
     assert len(rows(keys.checked_join(a, b, ["k"], validate="many_to_one"))) == 4
-    with pytest.raises(keys.KeyError_):
+    with pytest.raises(keys.KeyViolation):
         keys.checked_join(a, a.withColumnRenamed("x", "X"), ["k"], validate="many_to_many")
     got = rows(keys.indicator_join(a.select("k").distinct(), b.select("k"), ["k"]))
     assert got == [(1, "both"), (2, "left_only"), (3, "right_only"), (None, "left_only")]
@@ -231,7 +231,7 @@ def test_masters_and_diagnostics(spark):
     m = masters.master(b, a, 0)
     got = rows(m, "unitid", "merge_status", "has_usable_fsa_record", "has_blocked_fsa_family", "fsa_sfa_periods_aligned")
     assert got == [(1, "matched", True, False, False), (2, "matched", False, True, False), (3, "ipeds_only", None, None, None)]
-    with pytest.raises(keys.KeyError_):
+    with pytest.raises(keys.KeyViolation):
         masters.master(b.union(b), a, 0)
     cov = diagnostics.coverage(b.select(F.col("UNITID").alias("unitid"), "year", F.col("OPEID").alias("opeid")), a, 0)
     y = cov.where("true")
