@@ -97,10 +97,11 @@ def pack_arrays(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> np.ndar
 def pack(items: DataFrame, limits: Limits, n_items: int, key: str = "doc_id") -> DataFrame:
     """Adds ``container`` (text, unique over all groups) to a table of :func:`pieces`.
 
-    A piece that fills a container gets it alone, whatever the order.
+    A piece that fills a container gets it alone, whatever the order.  Keys travel as text, so
+    that null keys in a group leave long numbers exact.
     """
     groups = max(1, -(-n_items // GROUP_ITEMS))
-    dealt = items.withColumn("group", F.pmod(F.xxhash64("deal", "piece"), F.lit(groups)).cast("int"))
+    dealt = items.withColumn(key, F.col(key).cast("string")).withColumn("group", F.pmod(F.xxhash64("deal", "piece"), F.lit(groups)).cast("int"))
     kind = items.schema[key].dataType.simpleString()
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
@@ -109,4 +110,5 @@ def pack(items: DataFrame, limits: Limits, n_items: int, key: str = "doc_id") ->
         frame["container"] = [f"{g}-{b}" for g, b in zip(frame.pop("group"), box)]
         return frame.drop(columns="deal")
 
-    return dealt.groupBy("group").applyInPandas(fill, f"{key} {kind}, piece int, first_token bigint, tokens bigint, loss_tokens bigint, container string")
+    packed = dealt.groupBy("group").applyInPandas(fill, f"{key} string, piece int, first_token bigint, tokens bigint, loss_tokens bigint, container string")
+    return packed.withColumn(key, F.col(key).cast(kind))

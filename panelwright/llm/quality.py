@@ -186,25 +186,30 @@ def chunks(text: str, size: int = CHUNK_CHARS) -> list[tuple[str, bool, bool]]:
     return out
 
 
-SCHEMA_TAIL = "chunk int, n_chunks int, counts array<double>, edges array<string>"
+SCHEMA_TAIL = "row bigint, chunk int, n_chunks int, counts array<double>, edges array<string>"
 
 
 def partials(documents: DataFrame, common: frozenset[str], key: str = "doc_id", text: str = "text", own: bool = True, size: int = CHUNK_CHARS) -> DataFrame:
-    """Partial counts of every chunk of every text (of the sender's own writing with ``own``)."""
+    """Partial counts of every chunk of every text (of the sender's own writing with ``own``).
+
+    ``row`` tells the texts apart, as keys may be null or repeat.  Keys travel as text, since
+    a batch with null keys would turn long numbers into inexact ones.
+    """
     kind = documents.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for k, t in zip(frame.iloc[:, 0], frame.iloc[:, 1]):
+            for k, t, n in zip(frame.iloc[:, 0], frame.iloc[:, 1], frame.iloc[:, 2]):
                 t = (own_writing(t) if own else t) if isinstance(t, str) else ""
                 cuts = chunks(t, size)
                 for i, (c, a, b) in enumerate(cuts):
                     v, e = partial(c, common, a, b)
-                    rows.append((k, i, len(cuts), v, e))
-            yield pd.DataFrame(rows, columns=["key", "chunk", "n_chunks", "counts", "edges"])
+                    rows.append((k, n, i, len(cuts), v, e))
+            yield pd.DataFrame(rows, columns=["key", "row", "chunk", "n_chunks", "counts", "edges"])
 
-    return documents.select(key, text).mapInPandas(run, f"key {kind}, {SCHEMA_TAIL}").withColumnRenamed("key", key)
+    sent = documents.select(F.col(key).cast("string").alias("key"), text, F.monotonically_increasing_id().alias("row"))
+    return sent.mapInPandas(run, f"key string, {SCHEMA_TAIL}").withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
 
 
 def merged(parts: DataFrame, common: frozenset[str], key: str = "doc_id") -> DataFrame:
@@ -214,9 +219,8 @@ def merged(parts: DataFrame, common: frozenset[str], key: str = "doc_id") -> Dat
     """
     done = parts.where("n_chunks = 1").select(key, "counts")
     kind = parts.schema[key].dataType.simpleString()
-    open_parts = cut(parts.where("n_chunks > 1").withColumn("__row", F.col("n_chunks")))
-    most = open_parts.agg(F.max("n_chunks").alias("m")).collect()[0]["m"] or 1
-    level = open_parts.drop("__row")
+    level = cut(parts.where("n_chunks > 1"))
+    most = level.agg(F.max("n_chunks").alias("m")).collect()[0]["m"] or 1
 
     def join(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("chunk")
@@ -225,11 +229,11 @@ def merged(parts: DataFrame, common: frozenset[str], key: str = "doc_id") -> Dat
             one = ([float(x) for x in v], [str(x) for x in e])
             acc = one if acc is None else merge(acc, one, common)
         row = frame.iloc[0]
-        return pd.DataFrame([(row["key"], int(row["up"]), int(-(-row["n_chunks"] // FAN_IN)), acc[0], acc[1])], columns=["key", "chunk", "n_chunks", "counts", "edges"])
+        return pd.DataFrame([(row["key"], int(row["row"]), int(row["up"]), int(-(-row["n_chunks"] // FAN_IN)), acc[0], acc[1])], columns=["key", "row", "chunk", "n_chunks", "counts", "edges"])
 
     while most > 1:
-        grouped = level.select(F.col(key).alias("key"), "chunk", "n_chunks", "counts", "edges", (F.col("chunk") / FAN_IN).cast("int").alias("up"))
-        level = grouped.groupBy("key", "up").applyInPandas(join, f"key {kind}, {SCHEMA_TAIL}").withColumnRenamed("key", key)
+        grouped = level.select(F.col(key).cast("string").alias("key"), "row", "chunk", "n_chunks", "counts", "edges", (F.col("chunk") / FAN_IN).cast("int").alias("up"))
+        level = grouped.groupBy("row", "up").applyInPandas(join, f"key string, {SCHEMA_TAIL}").withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
         most = -(-most // FAN_IN)
     return done.unionByName(level.select(key, "counts"))
 

@@ -118,6 +118,8 @@ def test_pieces_and_pack(spark):
     per = out.groupBy("container").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")).collect()
     assert all(r.t <= 10 and r.n <= 8 for r in per)
     assert packing.pack(packing.pieces(sizes.where("false"), L), L, 0).count() == 0
+    big = sizes.withColumn("doc_id", F.col("doc_id") + 2**60 + 1)
+    assert {r.doc_id for r in packing.pack(packing.pieces(big, L), L, 7).collect()} == {2**60 + 2, 2**60 + 3, 2**60 + 4, None}
 
 
 # -- quality ----------------------------------------------------------------------------
@@ -185,10 +187,12 @@ def test_one_word_longer_than_chunks():
 
 
 def test_statistics_of_odd_texts(spark):
-    df = spark.createDataFrame([(1, None), (2, ""), (3, " \n "), (4, PROSE), (4, PROSE), (5, PROSE * 400), (None, "x")], "doc_id long, text string").withColumn("kind", F.lit("clash"))
+    df = spark.createDataFrame([(1, None), (2, ""), (3, " \n "), (4, PROSE), (4, PROSE), (5, PROSE * 400), (None, "x"), (6, PROSE * 30), (6, PROSE * 30), (None, PROSE * 30), (None, PROSE * 30)], "doc_id long, text string").withColumn("kind", F.lit("clash"))
     out = quality.statistics(quality.merged(quality.partials(df, COMMON, size=1000), COMMON))
     got = out.collect()
-    assert len(got) == 7
+    assert len(got) == 11
+    once = kind_of(spark, PROSE * 30, 10**9).n_words
+    assert sorted(r.n_words for r in got if r.doc_id == 6 or r.doc_id is None) == [1, once, once, once, once]
     by = {r.doc_id: r for r in got}
     assert by[1].kind is None and by[2].n_words == 0 and by[3].mean_word_length is None
     whole = kind_of(spark, PROSE * 400, 10**9)
