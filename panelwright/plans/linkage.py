@@ -17,7 +17,8 @@ def crosswalk(frame: DataFrame, year: str = "cw_year") -> tuple[DataFrame, DataF
 
     Columns: year, opeid, ipedsmatch, addmatch, ipedsmain, source, ipedsrpt.  A relation is
     (cw_year, opeid8, unitid, relation_type); a field without a usable unit gives a row that
-    says so.  Unparsed tokens stay in the records and make them incomplete.
+    says so.  Unparsed tokens stay in the records and make them incomplete.  An id may have
+    several rows in a year; there is a record for each, telling of its own fields only.
     """
     fields = {"primary_match": "ipedsmatch", "additional_match": "addmatch", "parent_reference": "ipedsmain"}
     base = frame.select(F.col(year).cast("int").alias("cw_year"), ids.full_opeid(F.col("opeid")).alias("opeid8"), *[ids.unit_tokens(F.col(c)).alias(k) for k, c in fields.items()], ids.canonical_code(F.col("source")).alias("cw_source_code"), ids.canonical_code(F.col("ipedsrpt")).alias("cw_ipeds_reporting_code"))
@@ -146,12 +147,14 @@ def resolve(base: DataFrame, directory: DataFrame, records: DataFrame, relations
 
     ``base`` is a table of :func:`base_match`; ``directory`` is unique by year and unit;
     ``descriptors`` may bring school, state and school_type per (opeid8, award_year) for the
-    geography and placeholder overrides.
+    geography and placeholder overrides.  An id may have several records in a year; it is
+    complete if all of them are.
     """
     h = candidates(directory).select(F.col("y").alias("hy"), F.col("opeid8").alias("ho"), F.col("n").alias("n_h"), "n_not_admin", F.col("only").alias("only_h"))
     own = relations.where(F.col("relation_type").isin("primary_match", "additional_match") & F.col("unitid").isNotNull())
     s = own.select("cw_year", "opeid8", "unitid").distinct().groupBy(F.col("cw_year").alias("sy"), F.col("opeid8").alias("so")).agg(F.count(F.lit(1)).alias("n_s"), F.when(F.count(F.lit(1)) == 1, F.min("unitid")).alias("only_s"))
-    official = records.select(F.col("cw_year").alias("oy"), F.col("opeid8").alias("oo"), F.coalesce(F.lower(F.col("cw_site_parse_complete").cast("string")).isin("true", "1"), F.lit(False)).alias("complete"))
+    complete = F.coalesce(F.lower(F.col("cw_site_parse_complete").cast("string")).isin("true", "1"), F.lit(False))
+    official = records.groupBy(F.col("cw_year").alias("oy"), F.col("opeid8").alias("oo")).agg(F.every(complete).alias("complete"))
     j = base.join(h, (F.col("ipeds_year") == F.col("hy")) & (F.col("opeid8") == F.col("ho")), "left")
     j = j.join(s, (F.col("ipeds_year") == F.col("sy")) & (F.col("opeid8") == F.col("so")), "left")
     j = j.join(official, (F.col("ipeds_year") == F.col("oy")) & (F.col("opeid8") == F.col("oo")), "left").drop("hy", "ho", "sy", "so", "oy", "oo")

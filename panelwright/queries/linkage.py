@@ -93,14 +93,18 @@ def candidate_ledger(spark, d):
 
 
 def _crosswalk(spark, d):
-    """A crosswalk sheet made of the units that family records report: the smallest is the match, the largest is additional.
+    """A crosswalk sheet made of the units that family records report: the smallest is the match, every other is additional.
 
+    The match has one row, and so has each additional unit; an id with many units is many rows, never a collected list.
     Some fields are cut short, as happens in such sheets.
     """
     f = _family(spark, d).where("opeid8 IS NOT NULL AND award_year_start IS NOT NULL AND unitid BETWEEN 100000 AND 999999")
-    g = f.groupBy(F.col("award_year_start").alias("cw_year"), F.col("opeid8").alias("opeid")).agg(F.min("unitid").alias("a"), F.max("unitid").alias("b"))
-    broken = F.col("a") % 41 == 0
-    return g.select("cw_year", "opeid", F.when(broken, F.concat(F.col("a").cast("string"), F.lit(" | 100"))).otherwise(F.col("a").cast("string")).alias("ipedsmatch"), F.when(F.col("a") != F.col("b"), F.col("b").cast("string")).otherwise("No match").alias("addmatch"), F.lit("-2").alias("ipedsmain"), F.lit("1.0").alias("source"), F.lit("-2").alias("ipedsrpt"))
+    units = f.select(F.col("award_year_start").alias("cw_year"), F.col("opeid8").alias("opeid"), "unitid").distinct()
+    first = units.groupBy("cw_year", "opeid").agg(F.min("unitid").alias("a"))
+    unit, match = F.col("unitid").cast("string"), F.col("unitid") == F.col("a")
+    token = F.when(F.col("unitid") % 41 == 0, F.concat(unit, F.lit(" | 100"))).otherwise(unit)
+    rows = units.join(first, ["cw_year", "opeid"])
+    return rows.select("cw_year", "opeid", F.when(match, token).otherwise("No match").alias("ipedsmatch"), F.when(match, "No match").otherwise(unit).alias("addmatch"), F.lit("-2").alias("ipedsmain"), F.lit("1.0").alias("source"), F.lit("-2").alias("ipedsrpt"))
 
 
 _SITES = "site AS (SELECT y0, op, MIN(unitid) AS a, MAX(unitid) AS b FROM fam WHERE op IS NOT NULL AND y0 IS NOT NULL AND unitid BETWEEN 100000 AND 999999 GROUP BY y0, op)"
