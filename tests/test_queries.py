@@ -1,8 +1,8 @@
 """Registered queries on small tables of their own, against results told by hand."""
 
-from datetime import datetime
+from datetime import date, datetime
 
-from panelwright.queries import linkage
+from panelwright.queries import linkage, panel
 from tests.conftest import rows
 
 T0 = datetime(2020, 1, 1)
@@ -33,3 +33,12 @@ def test_crosswalk_keeps_every_unit(spark, tmp_path):
     ]
     told = rows(linkage.annual_reconciliation(spark, d), "ipeds_year", "directory_units", "crosswalk_units", "bridge_units", "directory_and_crosswalk", "directory_only", "unrepresented_with_crosswalk")
     assert told == [(2005, 4, 11, 1, 3, 1, 2)]
+
+
+# -- panel ------------------------------------------------------------------------------
+def test_year_scoped_labels_read_every_order(spark, tmp_path):
+    told = [(7, 1995), (7, 1996), (10, 1996), (100, 1997), (1, 1998), (13, 1999), (13, 2001), (8, 1995), (8, 1998)]
+    o = spark.createDataFrame([(k, date(y, 5, 1), "F") for k, y in told], "o_custkey long, o_orderdate date, o_orderstatus string")
+    o.write.parquet(f"{tmp_path}/orders.parquet")
+    got = rows(panel.year_scoped_labels(spark, str(tmp_path)))
+    assert got == [(1, "F", "1995-1997: old; 1998-1999,2001: std"), (2, "F", "1995: old; 1998: std")]
