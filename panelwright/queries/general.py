@@ -97,14 +97,18 @@ RULES = {
     "has_usable_fsa_record": profile.Rule(allowed=("True", "False")),
     "grant__pell_recipients": profile.Rule(whole=True),
 }
-PROFILED = [
-    "unitid", "ipeds_year", "merge_status", "has_usable_fsa_record", "fsa_year_offset", "grant__opeid8",
-    "grant__pell_recipients", "grant__pell_recipients__status", "grant__pell_recipients__raw_token", "grant__pell_disbursements",
-]
 
 
-def _frequencies(spark: SparkSession, d: str, columns: list[str]) -> DataFrame:
-    rows = profile.deduplicated(table(spark, d, "master_panel"), "panel_row_id", [*profile.LOAD, *columns])
+def _frequencies(spark: SparkSession, d: str, columns: list[str] | None = None) -> DataFrame:
+    """Value frequencies of ``columns``, by default of every column but the load's keys.
+
+    Lists, structs and maps are profiled as JSON text, which has an order.
+    """
+    panel = table(spark, d, "master_panel")
+    if columns is None:
+        columns = [c for c in panel.columns if c not in profile.LOAD]
+        panel = panel.withColumns({c: F.to_json(c) for c, kind in panel.dtypes if c in columns and kind.startswith(("array", "struct", "map"))})
+    rows = profile.deduplicated(panel, "panel_row_id", [*profile.LOAD, *[c for c in columns if c != "panel_row_id"]])
     return cut(profile.frequencies(rows, columns))
 
 
@@ -114,13 +118,13 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_profile(spark: SparkSession, d: str) -> DataFrame:
-    """The profile of every column of every load."""
-    return profile.profile(_frequencies(spark, d, PROFILED), RULES)
+    """The profile of every column of every load but its keys; times have their range as text (min_value, max_value)."""
+    return profile.profile(_frequencies(spark, d), RULES)
 
 
 def p4_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Every column's change from the load before: null rate, total variation, stability index, chi-square."""
-    both = profile.compared(_frequencies(spark, d, PROFILED), RULES)
+    """Every column's change from the load before (its keys left out): null rate, total variation, stability index, chi-square."""
+    both = profile.compared(_frequencies(spark, d), RULES)
     rate = F.col("n_null") / F.col("n_rows") - F.col("previous_n_null") / F.col("previous_n_rows")
     return both.select(*profile.LOAD, "field_name", rate.alias("null_rate_change"), "total_variation", "stability_index", "chi_square")
 

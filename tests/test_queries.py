@@ -2,7 +2,7 @@
 
 from datetime import date, datetime
 
-from panelwright.queries import linkage, panel
+from panelwright.queries import general, linkage, panel
 from tests.conftest import rows
 
 T0 = datetime(2020, 1, 1)
@@ -42,3 +42,19 @@ def test_year_scoped_labels_read_every_order(spark, tmp_path):
     o.write.parquet(f"{tmp_path}/orders.parquet")
     got = rows(panel.year_scoped_labels(spark, str(tmp_path)))
     assert got == [(1, "F", "1995-1997: old; 1998-1999,2001: std"), (2, "F", "1995: old; 1998: std")]
+
+
+# -- p4 ---------------------------------------------------------------------------------
+def test_profile_takes_every_column(spark, tmp_path):
+    t = [datetime(2020, 1, k) for k in (1, 2, 3)]
+    data = [(1, 1, 1, "L1", "matched", "True", 5.0, ["x"], t[0]), (1, 1, 1, "L1", "matched", "True", 5.0, ["x"], t[1]), (None, 1, 1, "L1", "matched", "True", 6.0, None, t[0]), (2, 1, 2, "L2", "matched", None, 5.0, ["y"], t[2])]
+    schema = "panel_row_id long, feed_no long, load_seq int, load_id string, merge_status string, has_usable_fsa_record string, grant__pell_recipients double, extra array<string>, loaded_at timestamp"
+    spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/master_panel.parquet")
+    got = rows(general.p4_profile(spark, str(tmp_path)).where("field_name IN ('panel_row_id', 'extra', 'loaded_at')"), "load_id", "field_name", "n_rows", "n_null", "n_distinct", "min_value", "max_value")
+    assert got == [
+        ("L1", "extra", 2, 1, 1, '["x"]', '["x"]'), ("L1", "loaded_at", 2, 0, 2, "2020-01-01 00:00:00", "2020-01-02 00:00:00"), ("L1", "panel_row_id", 2, 1, 1, "1", "1"),
+        ("L2", "extra", 1, 0, 1, '["y"]', '["y"]'), ("L2", "loaded_at", 1, 0, 1, "2020-01-03 00:00:00", "2020-01-03 00:00:00"), ("L2", "panel_row_id", 1, 0, 1, "2", "2"),
+    ]
+    shifts = {r.field_name: r.total_variation for r in general.p4_changes(spark, str(tmp_path)).where("load_id = 'L2'").collect()}
+    assert set(shifts) == {"panel_row_id", "merge_status", "has_usable_fsa_record", "grant__pell_recipients", "extra", "loaded_at"}
+    assert (shifts["loaded_at"], shifts["panel_row_id"], shifts["merge_status"]) == (1.0, 1.0, 0.0)
