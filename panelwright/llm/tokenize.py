@@ -38,7 +38,8 @@ def encode(documents: DataFrame, key: str = "doc_id", text: str = "text", folder
 def sizes(documents: DataFrame, key: str = "doc_id", text: str = "text", folder: str = vocabulary.DEFAULT_FOLDER, name: str = vocabulary.DEFAULT_NAME) -> DataFrame:
     """``key``, ``n_tokens`` and ``n_head``: tokens before the body of a text with a header block.
 
-    A header block starts the text (``Name: value``) and ends at the first blank line.
+    A header block starts the text (``Name: value``) and ends at the first blank line, whose
+    line ends may be LF or CRLF.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +50,6 @@ def sizes(documents: DataFrame, key: str = "doc_id", text: str = "text", folder:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(per_text)), pa.array(per_text.astype(np.int64)), pa.array(ahead.astype(np.int64))], names=["key", "n_tokens", "n_head"])
 
     kind = documents.schema[key].dataType.simpleString()
-    blank = F.locate("\n\n", F.col(text))
-    head = F.when(F.col(text).rlike(r"\A[A-Za-z][A-Za-z0-9-]*:[ \t]") & (blank > 0), blank + 1).otherwise(0)
+    head = F.coalesce(F.length(F.regexp_extract(F.col(text), r"(?s)\A[A-Za-z][A-Za-z0-9-]*:[ \t].*?\r?\n\r?\n", 0)), F.lit(0))
     out = documents.select(key, text, head.cast("int").alias("body")).mapInArrow(run, f"key {kind}, n_tokens bigint, n_head bigint")
     return out.withColumnRenamed("key", key)

@@ -74,6 +74,16 @@ def test_sizes_count_head_tokens(spark, library):
     assert got[1][0] == n and 0 < got[1][1] < n and got[2][1] == 0 and got[3] == (0, 0)
 
 
+def test_sizes_know_every_blank_line(spark, library):
+    heads = ["Subject: x\r\nFrom: y\r\n\r\n", "Subject: x\nFrom: y\n\r\n", "Subject: x\r\nFrom: y\r\n\r\nAgain\n\n", "Subject: x\nFrom: y\n\nAgain\r\n\r\n"]
+    none = ["Subject: x\r\nFrom: y\r\n", "No head\r\n\r\n"]
+    df = spark.createDataFrame(list(enumerate(h + "body" for h in heads + none)), "doc_id long, text string")
+    got = {r.doc_id: r.n_head for r in tokenize.sizes(df, folder=FOLDER).collect()}
+    ends = [len(h) for h in heads[:2]] + [h.index("Again") for h in heads[2:]]
+    want = [sum(a < n for a, _ in library.encode(h + "body", add_special_tokens=False).offsets) for h, n in zip(heads, ends)]
+    assert [got[i] for i in range(6)] == [*want, 0, 0]
+
+
 # -- containers -------------------------------------------------------------------------
 def fits(tokens, loss, box, limits):
     for b in set(box):
