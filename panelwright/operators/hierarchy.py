@@ -200,3 +200,28 @@ def hierarchy(nodes: DataFrame, positions: bool = False) -> tuple[DataFrame, Dat
     """(labelled tree nodes, nodes on or below loops) of a table of :func:`links`."""
     trees, cyclic, total = measure(nodes)
     return label(trees, total, positions), loops(cyclic), total
+
+
+def whole(nodes: DataFrame, positions: bool = False) -> tuple[DataFrame, int]:
+    """(labelled nodes of trees and of the subtrees that hang below loops, number of nodes).
+
+    Nodes on loops have no rows.  A subtree starts at the child of a loop node: paths and
+    sizes are its own, its root is the loop's smallest id and its depth -2; positions of the
+    subtrees below one loop follow each other, so that no two intervals meet.
+    """
+    trees, cyclic, total = measure(nodes)
+    rings = cut(loops(cyclic))
+    below = cyclic.join(rings.where("NOT on_loop").select(*NODE), NODE)
+    on = rings.where("on_loop").select(*NODE, "on_loop")
+    split = skew.lookup(below, on, _pairs("parent"), {"top": "on_loop"}, total)
+    hung, _, n = measure(split.select(*NODE, F.when(F.col("top").isNull(), F.col("parent")).alias("parent")))
+    rows = label(trees, total, positions)
+    if not n:
+        return rows, total
+    told = cut(label(hung, n, positions).join(rings.select(*NODE, "loop_root"), NODE))
+    tops = told.where("parent IS NULL").select(*FOREST, "loop_root", "unitid", "size")
+    before = skew.prefix_sum(tops, [*FOREST, "loop_root"], "unitid", "size", "before").select(*FOREST, F.col("unitid").alias("top"), "before")
+    placed = skew.lookup(told, before, [*((f, f) for f in FOREST), ("root_unitid", "top")], {"before": "before"}, n)
+    moved = {c: F.col(c) + F.col("before") for c in ("first_position", "last_position")}
+    placed = placed.withColumns({**moved, "root_unitid": F.col("loop_root"), "tree_depth": F.lit(-2)})
+    return rows.unionByName(placed.select(*rows.columns)), total

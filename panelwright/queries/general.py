@@ -56,8 +56,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_tree(spark: SparkSession, d: str) -> DataFrame:
-    """Path, depth, root and descendants (as an interval of positions) of every node of a tree."""
-    trees, _, total = hierarchy.hierarchy(_links(spark, d), positions=True)
+    """Path, depth, root and descendants (as an interval of positions) of every node that is not on a loop."""
+    trees, total = hierarchy.whole(_links(spark, d), positions=True)
     trees = cut(trees)
     full = hierarchy.paths(trees, total)
     rows = trees.join(full, hierarchy.NODE)
@@ -65,8 +65,8 @@ def p2_tree(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
-    """One row per node and descendant, from the paths."""
-    trees, _, total = hierarchy.hierarchy(_links(spark, d))
+    """One row per node and descendant, from the paths; nodes on loops are left out."""
+    trees, total = hierarchy.whole(_links(spark, d))
     trees = cut(trees)
     full = hierarchy.paths(trees, total).where(F.size("path") > 1)
     pairs = full.select(*hierarchy.FOREST, F.col("unitid").alias("descendant"), F.size("path").alias("n"), F.posexplode("path").alias("i", "unitid"))

@@ -44,6 +44,23 @@ def test_year_scoped_labels_read_every_order(spark, tmp_path):
     assert got == [(1, "F", "1995-1997: old; 1998-1999,2001: std"), (2, "F", "1995: old; 1998: std")]
 
 
+# -- p2 ---------------------------------------------------------------------------------
+def test_subtrees_below_loops_have_paths(spark, tmp_path):
+    parent = {2: 1, 3: 2, 11: 12, 12: 11, 20: 11, 21: 20, 22: 20, 23: 22, 30: 12, 31: 30}  # 11 and 12 are a loop
+    codes = [c for c in linkage.CODES if c not in ("opeid8", "ipeds_flags_available", "idx_sfa")]
+    d = spark.createDataFrame([(2005, u, str(parent[u]) if u in parent else None, "hd2005.csv", T0) for u in sorted({1, *parent})], "ipeds_year int, unitid long, idx_sfa string, ipeds_source_member string, loaded_at timestamp")
+    d.selectExpr("*", *[f"CAST(NULL AS STRING) AS {c}" for c in codes]).write.parquet(f"{tmp_path}/ipeds_directory.parquet")
+    tree = {r.unitid: r for r in general.p2_tree(spark, str(tmp_path)).collect()}
+    assert {u: (r.root_unitid, r.tree_depth, r.path, r.n_descendants) for u, r in tree.items()} == {
+        1: (1, 0, "1", 2), 2: (1, 1, "1/2", 1), 3: (1, 2, "1/2/3", 0), 20: (11, -2, "20", 3), 21: (11, -2, "20/21", 0),
+        22: (11, -2, "20/22", 1), 23: (11, -2, "20/22/23", 0), 30: (11, -2, "30", 1), 31: (11, -2, "30/31", 0),
+    }
+    pairs = {(1, 2), (1, 3), (2, 3), (20, 21), (20, 22), (20, 23), (22, 23), (30, 31)}
+    inside = {(a, b) for a, x in tree.items() for b, y in tree.items() if x.root_unitid == y.root_unitid and x.first_position < y.first_position <= x.last_position}
+    assert inside == pairs
+    assert set(rows(general.p2_descendants(spark, str(tmp_path)), "unitid", "descendant")) == pairs
+
+
 # -- p4 ---------------------------------------------------------------------------------
 def test_profile_takes_every_column(spark, tmp_path):
     t = [datetime(2020, 1, k) for k in (1, 2, 3)]
