@@ -8,38 +8,37 @@ from pyspark.sql import functions as F
 from panelwright.functions import clean
 from panelwright.operators import drift, hierarchy, history, orphans, profile
 from panelwright.operators.directory import current_codes
-from panelwright.queries import general_sql
+from panelwright.queries import drift_sql, general_sql
 from panelwright.session import cut, table
 
 
 # -- p1 ---------------------------------------------------------------------------------
-def _drift(spark: SparkSession, d: str):
-    """(report rows, their cells, facts of columns, columns, renamed columns).
-
-    Facts on columns are materialised, cells are not: they are many times the input, and the
-    second look at them reads the files with renamed columns only.
-    """
-    raw = table(spark, d, "raw_reports")
-    rows = drift.reports(raw)
-    long = drift.cells(rows)
-    facts = cut(drift.column_facts(long))
-    columns = cut(drift.listing(table(spark, d, "schema_availability"), facts))
-    return rows, long, facts, columns, cut(drift.renames(columns, raw))
+def _drift(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(report rows with their cells, columns of files, the field of each column), all written."""
+    rows = drift.read(table(spark, d, "raw_reports"))
+    columns = cut(drift.listing(table(spark, d, "schema_availability"), cut(drift.column_facts(rows))))
+    return rows, columns, cut(drift.fields(columns, cut(drift.renames(columns, rows))))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    _, _, facts, columns, renamed = _drift(spark, d)
-    return drift.changes(columns, facts, renamed)
+    _, columns, named = _drift(spark, d)
+    return drift.changes(columns, named)
 
 
 def p1_unified(spark: SparkSession, d: str) -> DataFrame:
-    rows, long, _, columns, renamed = _drift(spark, d)
-    return drift.unified(rows, long, drift.fields(columns, renamed))
+    rows, _, named = _drift(spark, d)
+    return drift.unified(rows, named, cut(drift.fuse(named)))
+
+
+def p1_cells_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Cells per tag in the payloads and in the table of p1_unified: none is lost, none comes twice."""
+    rows, _, named = _drift(spark, d)
+    return drift.cells_kept(rows, drift.unified(rows, named, cut(drift.fuse(named))))
 
 
 def p1_alternatives(spark: SparkSession, d: str) -> DataFrame:
-    _, long, _, columns, renamed = _drift(spark, d)
-    return drift.alternatives(long, drift.fields(columns, renamed))
+    _, columns, named = _drift(spark, d)
+    return drift.alternatives(columns, named)
 
 
 # -- p2 ---------------------------------------------------------------------------------
@@ -153,5 +152,5 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return orphans.summary(refs, cut(orphans.orphan_keys(refs, directory)))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unified, p1_alternatives, p2_found, p2_tree, p2_descendants, p2_loops, p3_found, p3_history, p4_found, p4_profile, p4_changes, p5_found, p5_report)}
-SQL = general_sql.SQL
+QUERIES = {f.__name__: f for f in (p1_found, p1_unified, p1_cells_kept, p1_alternatives, p2_found, p2_tree, p2_descendants, p2_loops, p3_found, p3_history, p4_found, p4_profile, p4_changes, p5_found, p5_report)}
+SQL = {**general_sql.SQL, **drift_sql.SQL}

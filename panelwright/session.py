@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDER: str | None = None
+
 
 def local_session(cpus: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
@@ -48,19 +52,49 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or wanted
 
 
+def _run_folder(spark: SparkSession) -> str:
+    """The folder of this session's written tables, below the shared checkpoint folder.
+
+    It goes when the driver's Python ends; tables of a loop go as soon as :func:`drop` is called.
+    """
+    global _FOLDER
+    base = ensure_checkpoint_dir(spark)
+    if _FOLDER is None or not _FOLDER.startswith(base):
+        _FOLDER = f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
+        atexit.register(_remove, spark, _FOLDER)
+    return _FOLDER
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder through the file system that the path names; a session that has ended is no error."""
+    try:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception:  # noqa: BLE001 - cleaning up must not hide the result
+        pass
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+    """Writes ``df`` below the shared checkpoint folder and reads it back: same rows, no lineage.
 
-    A checkpointed table still carries the optimiser's estimate of its size and what was
-    inferred about its columns.  Over the rounds of an iteration the estimate of a join is a
-    product of such products, a number whose digits double each round until planning takes
-    minutes.  So the rows are taken over as a table about which nothing is known yet.
+    A written table is compressed, is read column by column, and brings its true size, so the
+    optimiser plans on facts; a checkpointed one would carry estimates that, over the rounds of
+    an iteration, grow to numbers that take minutes to multiply.  All executors share the
+    folder, so one that is lost takes nothing with it.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    done = df.checkpoint(eager=True)
-    rows = done._jdf.queryExecution().toRdd()
-    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
+    path = f"{_run_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes the files of a table of :func:`cut` that no later step reads."""
+    path = getattr(df, "_written", None)
+    if path:
+        _remove(df.sparkSession, path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -215,12 +215,10 @@ def _files(spark, files):
 
 def _solve(spark, files):
     a, b = _files(spark, files)
-    reports = drift.reports(b)
-    long = drift.cells(reports)
-    facts = drift.column_facts(long)
-    columns = drift.listing(a, facts)
-    renamed = drift.renames(columns, b)
-    return reports, long, columns, renamed, drift.changes(columns, facts, renamed)
+    reports = drift.read(b)
+    columns = drift.listing(a, drift.column_facts(reports))
+    named = drift.fields(columns, drift.renames(columns, reports))
+    return reports, columns, named, drift.changes(columns, named)
 
 
 def _payload(i, **more):
@@ -236,7 +234,7 @@ def test_drift_finds_each_kind(spark):
         ("A", "2004-2005"): ({"OPEID": "S", "School ": "S", "Pell_Recip": "S", "Amount": "S", "Flag": "S", "Gone": "S"}, first),
         ("A", "2006–2007"): ({"OPEID": "s", " school": "S ", "recipients  Pell": "Other", "Amount": "S", "Flag": "Other", "Fresh": "S"}, second),
     }
-    _, _, _, _, changes = _solve(spark, files)
+    _, _, _, changes = _solve(spark, files)
     assert set(rows(changes)) == {
         ("A", 2006, "renamed", "recipients pell", "pell_recip"), ("A", 2006, "moved", "recipients pell", "pell_recip"), ("A", 2006, "retyped", "amount", "amount"),
         ("A", 2006, "retyped", "flag", "flag"), ("A", 2006, "moved", "flag", "flag"), ("A", 2006, "added", "fresh", ""), ("A", 2006, "removed", "", "gone"),
@@ -247,7 +245,7 @@ def test_drift_similar_names_are_not_one_field(spark):
     a = [_payload(i, seog_amount=1000.0 * (i + 1)) for i in range(6)]
     b = [_payload(i, seog_amounts=7 - i) for i in range(6)]
     files = {("A", "2004"): ({"OPEID": "S", "seog_amount": "S"}, a), ("A", "2005"): ({"OPEID": "S", "seog_amounts": "S"}, b)}
-    _, _, _, _, changes = _solve(spark, files)
+    _, _, _, changes = _solve(spark, files)
     assert {r[2] for r in rows(changes)} == {"added", "removed"}
 
 
@@ -255,31 +253,73 @@ def test_drift_unified_keeps_every_row_and_cell(spark):
     a = [_payload(i, School=f"n{i}", Pell_Recip=100 + i) for i in range(4)]
     b = [_payload(i, Inst=f"n{i}", Pell_Recip=str(100 + i), Odd=[1, 2]) for i in range(4)]
     files = {("A", "2004"): ({"OPEID": "S", "School": "S", "Pell_Recip": "S"}, a), ("A", "2005"): ({"OPEID": "S", "Inst": "S", "Pell_Recip": "S", "Odd": "S"}, [*b, None, "no json", "{}"])}
-    reports, long, columns, renamed, _ = _solve(spark, files)
-    named = drift.fields(columns, renamed)
-    u = drift.unified(reports, long, named)
-    assert u.count() == 11 and u.columns[6:12] == list(drift.ATTRIBUTES)
-    names = [(r.institution_name.canonical, r.pell_count.tag) for r in u.where("award_year_start = 2005 AND opeid IS NOT NULL").collect()]
-    assert sorted(names) == [(f"n{i}", "string") for i in range(4)]
-    assert u.where("size(other_fields) = 1").count() == 4
-    tags = {(r.field, r.tag): r.n_cells for r in drift.alternatives(long, named).collect()}
-    assert tags[("pell_recip", "integer")] == 4 and tags[("pell_recip", "string")] == 4
+    reports, columns, named, _ = _solve(spark, files)
+    u = drift.unified(reports, named, drift.fuse(named))
+    assert u.count() == 11 and u.columns[7:] == ["odd", "opeid", "pell_recip", "school", "other_fields"]
+    names = [(r.school.canonical, r.pell_recip.tag, str(r.odd.integer_value)) for r in u.where("award_year_start = 2005 AND opeid IS NOT NULL").collect()]
+    assert sorted(names) == [(f"n{i}", "string", "1") for i in range(4)]
+    other = [(r.other_fields[0].header, r.other_fields[0].value.text if "text" in r.other_fields[0].value else r.other_fields[0].value.canonical) for r in u.where("size(other_fields) = 1").collect()]
+    assert sorted(other) == [("$", "no json"), *[("odd[]", "2")] * 4]
+    tags = {(r.field, r.tag): (r.n_cells, r.appeared) for r in drift.alternatives(columns, named).collect()}
+    assert tags[("pell_recip", "integer")] == (4, False) and tags[("pell_recip", "string")] == (4, True)
+    assert all(r.n_read == r.n_found for r in drift.cells_kept(reports, u).collect())
+
+
+def test_drift_loses_no_cell(spark):
+    """Headers that repeat in another spelling, rows without id, series or year, long integers, nested values, an id in two files."""
+    import json
+
+    text = json.dumps({"OPEID": "01001000", "Pell Recipients": 5, "pell  recipients": 7, "big": 99999999999999999999, "deep": {"a": {"b": 1.5}, "c": [True, {"d": "x"}], "e": {}}})
+    raw = [
+        (1, "A", "f", "2004", "a.csv", 1, text, T0), (1, "A", "f", "2004", "a.csv", 1, text, datetime(2021, 1, 1)), (None, "A", "f", "2004", "a.csv", 2, text, T0),
+        (2, None, "f", "2004", "a.csv", 3, text, T0), (3, "A", "f", "unknown", "a.csv", 4, text, T0), (4, "A", "f", "2004", "a.csv", 5, "[1, 2]", T0),
+        (5, "A", "f", "2004", "a.csv", 6, text, T0), (5, "A", "f", "2005", "b.csv", 6, text, datetime(2021, 1, 1)), (6, "A", "f", "2004", "a.csv", 7, None, T0),
+    ]
+    b = spark.createDataFrame(raw, "report_row_id long, series_id string, family string, award_year string, filename string, source_excel_row int, payload string, loaded_at timestamp")
+    a = spark.createDataFrame([("A", "2004", "OPEID", "S")], "series_id string, award_year string, source_column string, sheet string")
+    reports = drift.read(b)
+    assert rows(reports, "report_row_id", "series_id", "year") == [(1, "A", 2004), (2, None, 2004), (3, "A", None), (4, "A", 2004), (5, "A", 2005), (6, "A", 2004), (None, "A", 2004)]
+    columns = drift.listing(a, drift.column_facts(reports))
+    named = drift.fields(columns, drift.renames(columns, reports))
+    u = drift.unified(reports, named, drift.fuse(named))
+    kept = {r.tag: (r.n_read, r.n_found) for r in drift.cells_kept(reports, u).collect()}
+    assert kept == {"integer": (15, 15), "decimal": (5, 5), "boolean": (5, 5), "string": (16, 16)}
+    got = u.where("report_row_id = 1").collect()[0]
+    assert (str(got.big.integer_value), got.big.canonical, got.deep_a_b.decimal_value if "deep_a_b" in u.columns else got.a_b_deep.decimal_value) == ("99999999999999999999", "99999999999999999999", 1.5)
+    assert got.pell_recipients.canonical == "5" and [(x.header, x.value.canonical) for x in got.other_fields] == [("pell recipients", "7")]
+    assert len(u.where("report_row_id = 3").collect()[0].other_fields) == 8
+
+
+def test_canonical_cells_are_exact(spark):
+    cases = {"007": "7", "$1,200.50": "1200.5", "-0.0": "0", "1.": "1", "+3": "3", "-04.10": "-4.1", "1e3": "1000", "12345678901234567890123456789012345678901": "12345678901234567890123456789012345678901", "Yes": "1", "n/a": None, "New York, NY": "new york, ny", "0": "0"}
+    df = spark.createDataFrame([(k,) for k in cases], "h string")
+    assert {r[0]: r[1] for r in df.select("h", drift.canonical(F.col("h"))).collect()} == cases
+
+
+def test_drift_splits_a_hot_file(spark, monkeypatch):
+    monkeypatch.setattr(drift.skew, "hot_limit", lambda n: 10)
+    a, b = _files(spark, {("A", "2004"): ({"OPEID": "S"}, [_payload(i) for i in range(200)]), ("B", "2004"): ({"OPEID": "S"}, [_payload(1)])})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions would be put together again
+    try:
+        read = drift.read(b.unionByName(b))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert read.count() == 201
+    assert read.where("series_id = 'A'").groupBy(F.input_file_name()).count().agg(F.max("count")).collect()[0][0] < 150
 
 
 def test_drift_empty(spark):
     a, b = _files(spark, {("A", "2004"): ({"OPEID": "S"}, [_payload(1)])})
     for x, y in ((a, b), (a.where("false"), b.where("false")), (a, b.where("false"))):
-        reports = drift.reports(y)
-        long = drift.cells(reports)
-        facts = drift.column_facts(long)
-        columns = drift.listing(x, facts)
-        assert drift.changes(columns, facts, drift.renames(columns, y)).count() == 0
-
-
-def test_concepts_of_headers(spark):
-    heads = ["campus__seog_amount_paid", "seog head count", "released funds consolidation", "tuitoin aid recipients", "svc_vol", "zip_cdoe", "name_of_institution", "school state_v2", "unsub_borr", "whatever"]
-    df = spark.createDataFrame([(h,) for h in heads], "h string")
-    got = [r[0] for r in df.select(drift.concept(F.col("h"))).collect()]
-    assert got == ["seog_amount", "seog_count", "consolidation_amount", "tuition_aid_count", "service_amount", "zip_code", "institution_name", "state", "unsubsidized_count", None]
-
-
+        reports = drift.read(y)
+        columns = drift.listing(x, drift.column_facts(reports))
+        named = drift.fields(columns, drift.renames(columns, reports))
+        assert drift.changes(columns, named).count() == 0
+        assert drift.unified(reports, named, drift.fuse(named)).count() == y.count()
+
+
+def test_parallel_schemas_fuse_by_their_spellings(spark):
+    data = [("A", "pell recip", 2004, "pell recip"), ("A", "pell recip", 2004, "campus__Pell_Students"), ("B", "x", 2004, "students pell_v2"), ("B", "y", 2004, "pellStudents (no.)"), ("C", "z", 2004, "other"), ("C", "q", 2004, "***")]
+    df = spark.createDataFrame([(s, f, y, h.lower(), 2004) for s, f, y, h in data], "series_id string, field string, since int, header string, year int")
+    got = {(r.series_id, r.field): r.column for r in drift.fuse(df).collect()}
+    assert got[("A", "pell recip")] == got[("B", "x")] == got[("B", "y")] and got[("C", "z")] == "other" and got[("C", "q")] == "***"
