@@ -5,8 +5,9 @@ one parent, so a forest is a set of trees plus loops with trees that hang below
 
 1. :func:`measure` doubles every node's pointer to an ancestor.  One round joins nodes with
    their targets and adds subtree sizes over twice the distance, so depth H takes log2(H)
-   rounds.  A round in which no node ends leaves only nodes on or below loops, because
-   nodes of a tree exist at every depth up to the deepest.  These are set apart.
+   rounds.  A node whose pointer has passed the root is set aside; only the others go on, so
+   work falls from round to round.  A round in which no node ends leaves only nodes on or
+   below loops, because nodes of a tree exist at every depth up to the deepest.
 2. :func:`chains` links each node to its child with the largest subtree (ties: the smallest
    id), which cuts a tree into chains; a path from the root meets at most log2(N) of them.
 3. :func:`label` walks the chains level by level: a node's path is its parent chain's
@@ -18,6 +19,8 @@ No step gathers a tree in one task: sizes are partial aggregates, hot parents ar
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,22 +53,33 @@ def links(directory: DataFrame, parents: dict[str, str]) -> DataFrame:
 
 
 def measure(nodes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Acyclic nodes with subtree ``size``; nodes on or below loops; the number of nodes."""
-    state = cut(nodes.select(*NODE, "parent", F.col("parent").alias("jump"), F.lit(1).cast("bigint").alias("size")))
-    total = state.count()
-    active = state.where("jump IS NOT NULL").count()
-    while active:
-        below = state.where("jump IS NOT NULL").groupBy(*FOREST, F.col("jump").alias("unitid")).agg(F.sum("size").alias("more"))
-        grown = state.join(below, NODE, "left").select(*NODE, "parent", "jump", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"))
-        after = skew.lookup(grown, state, _pairs("jump"), {"next": "jump"}, total)
-        state = cut(after.select(*NODE, "parent", F.col("next").alias("jump"), "size"))
-        left = state.where("jump IS NOT NULL").count()
-        if left == active:
+    """Acyclic nodes with subtree ``size``; nodes on or below loops; the number of nodes.
+
+    What a node that was set aside is still owed by deeper nodes is kept in rows of its own
+    and added up in the end.
+    """
+    every = cut(nodes.select(*NODE, "parent"))
+    total = every.count()
+    active = every.where("parent IS NOT NULL").select(*NODE, "parent", F.col("parent").alias("jump"), F.lit(1).cast("bigint").alias("size"))
+    ended = [every.where("parent IS NULL").select(*NODE, "parent", F.lit(1).cast("bigint").alias("size"))]
+    owed, n = [], active.count()
+    while n:
+        below = active.groupBy(*FOREST, F.col("jump").alias("unitid")).agg(F.sum("size").alias("more"))
+        grown = active.withColumn("on", F.lit(True)).join(below, NODE, "full")
+        moved = skew.lookup(grown, active, _pairs("jump"), {"next": "jump"}, n)
+        moved = cut(moved.select(*NODE, "parent", F.col("next").alias("jump"), (F.coalesce("size", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("size"), "on"))
+        owed.append(moved.where("on IS NULL").select(*NODE, "size"))
+        ended.append(moved.where("on AND jump IS NULL").select(*NODE, "parent", "size"))
+        active = moved.where("on AND jump IS NOT NULL").drop("on")
+        left = active.count()
+        if left == n:
             break
-        active = left
-    trees = state.where("jump IS NULL").select(*NODE, "parent", "size")
-    loops = state.where("jump IS NOT NULL").select(*NODE, "parent")
-    return trees, loops, total
+        n = left
+    trees = reduce(DataFrame.unionByName, ended)
+    if owed:
+        late = reduce(DataFrame.unionByName, owed).groupBy(*NODE).agg(F.sum("size").alias("late"))
+        trees = trees.join(late, NODE, "left").select(*NODE, "parent", (F.col("size") + F.coalesce("late", F.lit(0))).alias("size"))
+    return cut(trees), active.select(*NODE, "parent"), total
 
 
 def loops(cyclic: DataFrame) -> DataFrame:
@@ -101,23 +115,15 @@ def chains(trees: DataFrame, total: int) -> DataFrame:
     size = F.struct(F.col("size"), (-F.col("unitid")).alias("u"))
     heavy = trees.where("parent IS NOT NULL").groupBy(*FOREST, "parent").agg((-F.max(size)["u"]).alias("unitid")).withColumn("heavy", F.lit(True))
     marked = trees.join(heavy.select(*NODE, "heavy"), NODE, "left").withColumn("heavy", F.col("heavy").isNotNull())
-    state = cut(
-        marked.select(
-            *NODE,
-            "parent",
-            "size",
-            "heavy",
-            F.when(F.col("heavy"), F.col("parent")).alias("jump"),
-            F.when(F.col("heavy"), F.col("parent")).otherwise(F.col("unitid")).alias("head"),
-            F.col("heavy").cast("int").alias("at"),
-        )
-    )
-    while state.where("jump IS NOT NULL").limit(1).count():
-        there = state.select(*FOREST, F.col("unitid").alias("jump"), F.col("jump").alias("jump2"), F.col("head").alias("head2"), F.col("at").alias("at2"))
-        both = state.join(there, [*FOREST, "jump"], "left")  # a node has one heavy child: no key repeats
-        far = F.col("jump").isNotNull()
-        state = cut(both.select(*NODE, "parent", "size", "heavy", F.col("jump2").alias("jump"), F.when(far, F.col("head2")).otherwise(F.col("head")).alias("head"), F.when(far, F.col("at") + F.col("at2")).otherwise(F.col("at")).alias("at")))
-    return state.drop("jump")
+    far, own = F.col("heavy"), [*NODE, "parent", "size", "heavy"]
+    state = cut(marked.select(*own, F.when(far, F.col("parent")).alias("jump"), F.when(far, F.col("parent")).otherwise(F.col("unitid")).alias("head"), far.cast("int").alias("at")))
+    done, open_ = [state.where("jump IS NULL")], state.where("jump IS NOT NULL")
+    while not open_.isEmpty():
+        there = reduce(DataFrame.unionByName, [*done, open_]).select(*FOREST, F.col("unitid").alias("jump"), F.col("jump").alias("jump2"), F.col("head").alias("head2"), F.col("at").alias("at2"))
+        moved = cut(open_.join(there, [*FOREST, "jump"]).select(*own, F.col("jump2").alias("jump"), F.col("head2").alias("head"), (F.col("at") + F.col("at2")).alias("at")))  # a node has one heavy child: no key repeats
+        done.append(moved.where("jump IS NULL"))
+        open_ = moved.where("jump IS NOT NULL")
+    return reduce(DataFrame.unionByName, done).drop("jump")
 
 
 def label(trees: DataFrame, total: int, positions: bool = True) -> DataFrame:
@@ -148,7 +154,7 @@ def label(trees: DataFrame, total: int, positions: bool = True) -> DataFrame:
     while left:  # at most log2(nodes) levels
         last = parts[-1].withColumnRenamed("head", "unitid")
         take = {"root_unitid": "root_unitid", "d": "top_depth", "p": "top_position", "a": "above"}
-        tried = skew.lookup(waiting, last, _pairs("up_head"), take, left)
+        tried = cut(skew.lookup(waiting, last, _pairs("up_head"), take, left))
         level += 1
         found = tried.where("root_unitid IS NOT NULL").select(
             *FOREST,
@@ -159,8 +165,8 @@ def label(trees: DataFrame, total: int, positions: bool = True) -> DataFrame:
             F.concat("a", F.array(F.struct(F.col("up_head").alias("head"), F.col("up_at").alias("at")))).alias("above"),
             F.lit(level).alias("level"),
         )
-        parts.append(cut(found))
-        waiting = cut(tried.where("root_unitid IS NULL").drop("root_unitid", "d", "p", "a"))
+        parts.append(found)
+        waiting = tried.where("root_unitid IS NULL").drop("root_unitid", "d", "p", "a")
         left = waiting.count()
     table = parts[0]
     for p in parts[1:]:
@@ -183,6 +189,27 @@ def label(trees: DataFrame, total: int, positions: bool = True) -> DataFrame:
     )
 
 
+#: Positions of one step of an interval; longer intervals are dealt out in steps of this length.
+STEP = 10_000
+
+
+def descendants(labelled: DataFrame) -> DataFrame:
+    """(node, descendant, distance) from the intervals of positions that :func:`label` gives.
+
+    The interval of a node names its descendants' positions, so a pair is found by an equal
+    join on (forest, root, position), whose keys do not repeat on one side.  Long intervals
+    are cut into steps and dealt out before they are opened.
+    """
+    depth = F.aggregate("segments", F.lit(0), lambda acc, s: acc + s["at"] + 1).alias("depth")
+    known = labelled.select(*NODE, "root_unitid", "first_position", "last_position", depth)
+    steps = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("last_position") - F.col("first_position") - 1) / STEP))
+    parts = known.where("last_position > first_position").select("*", F.explode(steps).alias("step")).repartition(*NODE, "step")
+    low = F.col("first_position") + 1 + F.col("step") * STEP
+    spots = parts.select(*NODE, "root_unitid", "depth", F.explode(F.sequence(low, F.least("last_position", low + (STEP - 1)))).alias("spot"))
+    there = known.select(*FOREST, "root_unitid", F.col("first_position").alias("spot"), F.col("unitid").alias("descendant"), F.col("depth").alias("below"))
+    return spots.join(there, [*FOREST, "root_unitid", "spot"]).select(*NODE, "descendant", (F.col("below") - F.col("depth")).alias("distance"))
+
+
 def paths(labelled: DataFrame, total: int) -> DataFrame:
     """The full path of each node (array from the root to the node).
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators import skew
+from panelwright.session import cut
 
 KEY = ["ref_unitid", "ref_year"]
 
@@ -19,23 +20,33 @@ def references(source: DataFrame, table: str, record_key: str, year: str, fields
     return rows.select(F.lit(table).alias("source_table"), "r.field_name", "ref_year", "record_key", "r.ref_unitid").where("ref_unitid IS NOT NULL AND ref_year IS NOT NULL")
 
 
-def orphan_keys(refs: DataFrame, directory: DataFrame) -> DataFrame:
+def counted(refs: DataFrame) -> DataFrame:
+    """References pre-aggregated per key, period, table and field, written once.
+
+    A key that holds a third of all rows is a few rows after the map side.
+    """
+    return cut(refs.groupBy(*KEY, "source_table", "field_name").agg(F.count(F.lit(1)).alias("n_references")))
+
+
+def _keys(counts: DataFrame) -> tuple[DataFrame, int]:
+    """(references per key, number from which a key is heavy)."""
+    keys = counts.groupBy(*KEY).agg(F.sum("n_references").alias("n"))
+    total = counts.agg(F.coalesce(F.sum("n_references"), F.lit(0)).alias("n")).collect()[0]["n"]
+    return keys, skew.hot_limit(int(total))
+
+
+def orphan_keys(counts: DataFrame, directory: DataFrame) -> DataFrame:
     """(ref_unitid, ref_year) named by a reference without a record, with counts and ``kind``.
 
-    1. References are pre-aggregated per table, field, key and period, so that a key that holds
-       a third of all rows is a few rows after the map side.
-    2. Heavy keys (more than :func:`skew.hot_limit` references) are checked against the records
-       broadcast for them alone; remaining keys take a shuffled anti-join.
-    3. Both orphan sets are united and told apart by the unit's first and last year.
+    ``counts`` is a table of :func:`counted`.  Heavy keys (more than :func:`skew.hot_limit`
+    references) are checked against the records broadcast for them alone; remaining keys take
+    a shuffled anti-join.  Both orphan sets are united and told apart by the unit's first and
+    last year.
     """
-    counted = refs.groupBy(*KEY, "source_table", "field_name").agg(F.count(F.lit(1)).alias("n_references"))
-    keys = counted.groupBy(*KEY).agg(F.sum("n_references").alias("n"))
-    total_row = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0]
-    limit = skew.hot_limit(int(total_row["n"]))
+    keys, limit = _keys(counts)
     records = directory.select(F.col("unitid").alias("ref_unitid"), F.col("ipeds_year").alias("ref_year"))
     heavy, light = keys.where(F.col("n") > limit), keys.where(F.col("n") <= limit)
-    heavy_ids = F.broadcast(heavy.select("ref_unitid").distinct())  # at most skew.MAX_HOT keys
-    heavy_records = records.join(heavy_ids, "ref_unitid", "left_semi").distinct()
+    heavy_records = records.join(F.broadcast(heavy.select(*KEY)), KEY, "left_semi").distinct()  # at most skew.MAX_HOT keys
     lost_heavy = heavy.join(F.broadcast(heavy_records), KEY, "left_anti")
     lost_light = light.hint("shuffle_merge").join(records, KEY, "left_anti")
     lost = lost_heavy.unionByName(lost_light)
@@ -44,23 +55,25 @@ def orphan_keys(refs: DataFrame, directory: DataFrame) -> DataFrame:
     return lost.join(span, "ref_unitid", "left").select(*KEY, F.col("n").alias("n_references"), kind.alias("kind"))
 
 
-def orphan_rows(refs: DataFrame, lost: DataFrame) -> DataFrame:
-    """The references themselves whose key is lost, one row each, heavy keys by broadcast."""
-    n = lost.agg(F.coalesce(F.sum("n_references"), F.lit(0)).alias("n")).collect()[0]["n"]
-    limit = skew.hot_limit(int(n))
-    heavy = F.broadcast(lost.where(F.col("n_references") > limit).select(*KEY, F.col("kind").alias("__heavy")))
-    marked = refs.join(heavy, KEY, "left")
-    known = marked.where("__heavy IS NOT NULL").withColumnRenamed("__heavy", "kind")
+def orphan_rows(refs: DataFrame, counts: DataFrame, lost: DataFrame) -> DataFrame:
+    """The references themselves whose key is lost, one row each.
+
+    Rows of every heavy key, lost or not, are told by broadcast: those of a key that exists
+    drop out before anything is shuffled.  Only rows of light keys meet by shuffle.
+    """
+    keys, limit = _keys(counts)
+    heavy = keys.where(F.col("n") > limit).select(*KEY).join(lost.select(*KEY, "kind"), KEY, "left").withColumn("__heavy", F.lit(True))
+    marked = refs.join(F.broadcast(heavy), KEY, "left")  # at most skew.MAX_HOT keys
+    known = marked.where("__heavy AND kind IS NOT NULL").drop("__heavy")
     light = lost.where(F.col("n_references") <= limit).select(*KEY, "kind")
-    rest = marked.where("__heavy IS NULL").drop("__heavy").join(light, KEY)
+    rest = marked.where("__heavy IS NULL").drop("__heavy", "kind").join(light, KEY)
     return known.unionByName(rest).select("source_table", "field_name", "ref_year", "record_key", "ref_unitid", "kind")
 
 
-def summary(refs: DataFrame, lost: DataFrame) -> DataFrame:
+def summary(counts: DataFrame, lost: DataFrame) -> DataFrame:
     """Orphan counts per table, field, period and kind, from pre-aggregated references."""
-    counted = refs.groupBy(*KEY, "source_table", "field_name").agg(F.count(F.lit(1)).alias("n_references"))
     return (
-        counted.join(lost.select(*KEY, "kind"), KEY)
+        counts.join(lost.select(*KEY, "kind"), KEY)
         .groupBy("source_table", "field_name", "ref_year", "kind")
         .agg(F.sum("n_references").alias("n_references"), F.countDistinct("ref_unitid").alias("n_units"))
     )

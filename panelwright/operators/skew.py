@@ -27,30 +27,37 @@ def lookup(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], take
 
     ``pairs`` are (left column, right column); ``take`` maps new column names to columns of
     ``right``.  Keys of ``left`` with more rows than :func:`hot_limit` are joined by
-    broadcast (at most ``MAX_HOT`` rows of ``right``), the others by shuffle.  Null keys
-    match nothing and never meet in one task.
+    broadcast (at most ``MAX_HOT`` rows of ``right``), the others by shuffle.  Rows with a
+    null key match nothing: they take no part in any join and stay where they are.
     """
     keys = [x for x, _ in pairs]
     right = right.select(*[F.col(y).alias(f"__k{i}") for i, (_, y) in enumerate(pairs)], *[F.col(v).alias(k) for k, v in take.items()])
     renamed = [(x, f"__k{i}") for i, x in enumerate(keys)]
     drop = [f"__k{i}" for i in range(len(keys))]
-    if n_left <= hot_limit(n_left):
-        return left.join(right, _on(left, right, renamed), how).drop(*drop)
     known = reduce(lambda a, b: a & b, (F.col(x).isNotNull() for x in keys))
-    counts = left.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_limit(n_left))
+    told = left.where(known)
+
+    def whole(joined: DataFrame) -> DataFrame:
+        if how == "inner":
+            return joined
+        return joined.unionByName(left.where(~known).withColumns({k: F.lit(None).cast(right.schema[k].dataType) for k in take}))
+
+    if n_left <= hot_limit(n_left):
+        return whole(told.join(right, _on(told, right, renamed), how).drop(*drop))
+    counts = told.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_limit(n_left))
     hot = [tuple(r[k] for k in keys) for r in counts.select(*keys).collect()]  # at most MAX_HOT keys
     if not hot:
-        return left.join(right, _on(left, right, renamed), how).drop(*drop)
+        return whole(told.join(right, _on(told, right, renamed), how).drop(*drop))
     spark = left.sparkSession
     schema = left.select(*keys).schema
     hot_keys = spark.createDataFrame(hot, schema).toDF(*drop)
     mark = F.broadcast(hot_keys.withColumn("__hot", F.lit(True)))
-    marked = left.join(mark, _on(left, mark, renamed), "left").drop(*drop)
+    marked = told.join(mark, _on(told, mark, renamed), "left").drop(*drop)
     few = right.join(F.broadcast(hot_keys), drop, "left_semi")
     hot_left, cold_left = marked.where("__hot").drop("__hot"), marked.where("__hot IS NULL").drop("__hot")
     a = hot_left.join(F.broadcast(few), _on(hot_left, few, renamed), how).drop(*drop)
     b = cold_left.join(right, _on(cold_left, right, renamed), how).drop(*drop)
-    return a.unionByName(b)
+    return whole(a.unionByName(b))
 
 
 def prefix_sum(df: DataFrame, group: list[str], order: str, value: str, out: str, spread: int = 5_000) -> DataFrame:

@@ -64,12 +64,9 @@ def p2_tree(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
-    """One row per node and descendant, from the paths; nodes on loops are left out."""
-    trees, total = hierarchy.whole(_links(spark, d))
-    trees = cut(trees)
-    full = hierarchy.paths(trees, total).where(F.size("path") > 1)
-    pairs = full.select(*hierarchy.FOREST, F.col("unitid").alias("descendant"), F.size("path").alias("n"), F.posexplode("path").alias("i", "unitid"))
-    return pairs.where("unitid <> descendant").select(*hierarchy.NODE, "descendant", (F.col("n") - 1 - F.col("i")).alias("distance"))
+    """One row per node and descendant, from the chains' intervals of positions; nodes on loops are left out."""
+    trees, _ = hierarchy.whole(_links(spark, d), positions=True)
+    return hierarchy.descendants(cut(trees))
 
 
 def p2_loops(spark: SparkSession, d: str) -> DataFrame:
@@ -144,12 +141,14 @@ def _references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     refs, directory = _references(spark, d)
-    return orphans.orphan_rows(refs, cut(orphans.orphan_keys(refs, directory)))
+    counts = orphans.counted(refs)
+    return orphans.orphan_rows(refs, counts, cut(orphans.orphan_keys(counts, directory)))
 
 
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
     refs, directory = _references(spark, d)
-    return orphans.summary(refs, cut(orphans.orphan_keys(refs, directory)))
+    counts = orphans.counted(refs)
+    return orphans.summary(counts, cut(orphans.orphan_keys(counts, directory)))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_unified, p1_cells_kept, p1_alternatives, p2_found, p2_tree, p2_descendants, p2_loops, p3_found, p3_history, p4_found, p4_profile, p4_changes, p5_found, p5_report)}

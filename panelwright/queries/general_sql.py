@@ -40,6 +40,17 @@ _TREE = f"""WITH RECURSIVE {_LINKS}, walk AS (SELECT n.component, n.ipeds_year,
  SELECT component, ipeds_year, unitid, CASE WHEN loop THEN list_min(list_slice(seen, list_position(seen, here), len(seen))) ELSE here END AS root_unitid,
  CAST(CASE WHEN NOT loop THEN depth WHEN list_contains(list_slice(seen, list_position(seen, here), len(seen)), unitid) THEN -1 ELSE -2 END AS INTEGER) AS tree_depth FROM ends WHERE r = 1"""
 
+_BELOW = _TREE.replace("WITH RECURSIVE ", "WITH RECURSIVE ", 1).rpartition(" SELECT component, ipeds_year, unitid, CASE WHEN loop")[0]
+_PATHS = f"""{_BELOW}, told AS (SELECT component, ipeds_year, unitid, loop AND list_contains(list_slice(seen, list_position(seen, here), len(seen)), unitid) AS ring, CASE WHEN loop THEN list_min(list_slice(seen, list_position(seen, here), len(seen))) ELSE here END AS root, loop FROM ends WHERE r = 1),
+ up AS (SELECT e.* FROM edge e JOIN told c USING (component, ipeds_year, unitid) JOIN told p ON p.component = e.component AND p.ipeds_year = e.ipeds_year AND p.unitid = e.parent WHERE NOT c.ring AND NOT p.ring),
+ anc AS (SELECT component, ipeds_year, unitid, unitid AS here, 0 AS dist, [unitid] AS path FROM told WHERE NOT ring UNION ALL SELECT a.component, a.ipeds_year, a.unitid, u.parent, a.dist + 1, list_prepend(u.parent, a.path) FROM anc a JOIN up u ON u.component = a.component AND u.ipeds_year = a.ipeds_year AND u.unitid = a.here),
+ size AS (SELECT component, ipeds_year, here AS unitid, COUNT(*) AS n FROM anc GROUP BY component, ipeds_year, here),
+ full_ AS (SELECT component, ipeds_year, unitid, arg_max(path, dist) AS path, MAX(dist) AS depth FROM anc GROUP BY component, ipeds_year, unitid),
+ nd AS (SELECT t.component, t.ipeds_year, t.unitid, t.root, t.loop, u.parent, s.n, f.path, f.depth, CASE WHEN u.parent IS NOT NULL THEN row_number() OVER (PARTITION BY t.component, t.ipeds_year, u.parent ORDER BY s.n DESC, t.unitid) = 1 END AS heavy FROM told t JOIN size s USING (component, ipeds_year, unitid) JOIN full_ f USING (component, ipeds_year, unitid) LEFT JOIN up u USING (component, ipeds_year, unitid)),
+ st AS (SELECT *, CASE WHEN heavy THEN 1 WHEN parent IS NULL THEN CASE WHEN loop THEN coalesce(SUM(n) OVER (PARTITION BY component, ipeds_year, root, parent IS NULL, loop ORDER BY unitid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) ELSE 0 END
+ ELSE 1 + MAX(CASE WHEN heavy THEN n END) OVER (PARTITION BY component, ipeds_year, parent) + coalesce(SUM(CASE WHEN heavy THEN 0 ELSE n END) OVER (PARTITION BY component, ipeds_year, parent ORDER BY unitid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) END AS step FROM nd),
+ pos AS (SELECT component, ipeds_year, unitid, unitid AS head, 0 AS at, CAST(step AS BIGINT) AS spot FROM st WHERE parent IS NULL UNION ALL SELECT s.component, s.ipeds_year, s.unitid, CASE WHEN s.heavy THEN p.head ELSE s.unitid END, CASE WHEN s.heavy THEN p.at + 1 ELSE 0 END, CAST(p.spot + s.step AS BIGINT) FROM pos p JOIN st s ON s.component = p.component AND s.ipeds_year = p.ipeds_year AND s.parent = p.unitid)"""
+
 _PANEL = """mp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY panel_row_id ORDER BY loaded_at DESC) AS rn FROM master_panel) WHERE rn = 1),
  cell AS (SELECT feed_no, load_seq, load_id, 'merge_status' AS field_name, merge_status AS v, NULL::DOUBLE AS x FROM mp UNION ALL SELECT feed_no, load_seq, load_id, 'has_usable_fsa_record', has_usable_fsa_record, NULL FROM mp
  UNION ALL SELECT feed_no, load_seq, load_id, 'grant__pell_recipients', CAST(grant__pell_recipients AS VARCHAR), grant__pell_recipients FROM mp),
@@ -65,6 +76,8 @@ _REFS = f"""{CURRENT}, fam AS (SELECT * FROM (SELECT *, row_number() OVER (PARTI
 SQL = {
     "p2_found": _TREE,
     "p2_loops": f"SELECT component, ipeds_year, unitid, tree_depth = -1 AS on_loop, root_unitid AS loop_root FROM ({_TREE}) WHERE tree_depth < 0",
+    "p2_tree": f"{_PATHS} SELECT s.component, s.ipeds_year, s.unitid, s.root AS root_unitid, CAST(CASE WHEN s.loop THEN -2 ELSE s.depth END AS INTEGER) AS tree_depth, array_to_string(s.path, '/') AS path, s.n - 1 AS n_descendants, p.head, CAST(p.at AS INTEGER) AS at, p.spot AS first_position, p.spot + s.n - 1 AS last_position FROM st s JOIN pos p USING (component, ipeds_year, unitid)",
+    "p2_descendants": f"{_PATHS} SELECT component, ipeds_year, here AS unitid, unitid AS descendant, CAST(dist AS INTEGER) AS distance FROM anc WHERE dist > 0",
     "p3_found": _HISTORY,
     "p4_found": _FINDINGS,
     "p5_found": f"WITH {_REFS} SELECT source_table, field_name, CAST(ref_year AS INTEGER) AS ref_year, record_key, ref_unitid, kind FROM orphan",

@@ -264,6 +264,24 @@ def test_skew_lookup_equals_join(spark, monkeypatch):
     assert rows(got, "id", "k", "v") == rows(want)
 
 
+def test_skew_lookup_leaves_null_keys_where_they_are(spark):
+    left = spark.range(0, 20_000, 1, 8).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))  # nine tenths are null
+    right = spark.range(0, 20_000, 10).select(F.col("id").alias("r"), F.lit(1).alias("v"))
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        for n in (20_000, 50_000):  # below and above the number from which hot keys are looked for
+            got = skew.lookup(left, right, [("k", "r")], {"v": "v"}, n)
+            sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 20_000 and max(sizes) < 3_000 and got.where("v IS NULL").count() == 18_000
+        assert skew.lookup(left, right, [("k", "r")], {"v": "v"}, 50_000, "inner").count() == 2_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_prefix_sum_over_buckets(spark):
     df = spark.range(500).select((F.col("id") % 2).alias("g"), F.col("id"), F.lit(2).alias("w"))
     got = skew.prefix_sum(df, ["g"], "id", "w", "before", spread=20)

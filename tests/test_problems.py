@@ -142,21 +142,24 @@ def test_orphans_brute_force(spark, monkeypatch):
     r = random.Random(2)
     have = {(u, y) for u in range(30) for y in r.sample(range(2000, 2010), 5)}
     d = spark.createDataFrame(sorted(have), "unitid long, ipeds_year int")
-    data = [(i, r.randint(1999, 2011), 999 if i % 3 == 0 else r.choice([None, *range(35)])) for i in range(300)]
+    there = min(have)  # a third of the references name a key that is lost, a third one that exists
+    data = [(i, 2001, 999) if i % 3 == 0 else (i, there[1], there[0]) if i % 3 == 1 else (i, r.randint(1999, 2011), r.choice([None, *range(35)])) for i in range(300)]
     refs = orphans.references(spark.createDataFrame(data, "id long, y int, ref long"), "t", "id", "y", ["ref"])
-    lost = orphans.orphan_keys(refs, d)
+    counts = orphans.counted(refs)
+    lost = orphans.orphan_keys(counts, d)
 
     def kind(u, y):
         ys = [b for a, b in have if a == u]
         return "never" if not ys else "not_yet" if min(ys) > y else "gone" if max(ys) < y else "gap"
 
     want = sorted((i, u, y, kind(u, y)) for i, y, u in data if u is not None and (u, y) not in have)
-    got = orphans.orphan_rows(refs, lost)
+    got = orphans.orphan_rows(refs, counts, lost)
     assert sorted(map(tuple, got.select("record_key", "ref_unitid", "ref_year", "kind").collect())) == want
-    assert sum(x.n_references for x in orphans.summary(refs, lost).collect()) == len(want)
+    assert sum(x.n_references for x in orphans.summary(counts, lost).collect()) == len(want)
     none = refs.where("false")
-    assert orphans.orphan_rows(none, orphans.orphan_keys(none, d)).count() == 0
-    everything = orphans.orphan_keys(refs, d.where("false"))
+    nothing = orphans.counted(none)
+    assert orphans.orphan_rows(none, nothing, orphans.orphan_keys(nothing, d)).count() == 0
+    everything = orphans.orphan_keys(counts, d.where("false"))
     assert everything.where("kind <> 'never'").count() == 0
 
 
