@@ -38,16 +38,22 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return used.withColumn("unused_share", 1 - F.col("n_tokens") / (F.col("n_containers") * LIMITS.tokens))
 
 
+#: The list of frequent words travels with the tasks; a longer one is refused.
+MAX_COMMON = 200_000
+
+
 def common_words(spark: SparkSession, d: str) -> frozenset[str]:
-    """Frequent words of all languages; the table is a fixed list of a few hundred rows."""
+    """Frequent words of all languages; the table is a fixed list of a few hundred rows, and its size is checked."""
     words = table(spark, d, "common_words").where("word IS NOT NULL").select(F.lower("word").alias("word")).distinct()
-    return frozenset(r["word"] for r in words.collect())
+    told = words.limit(MAX_COMMON + 1).collect()
+    if len(told) > MAX_COMMON:
+        raise ValueError(f"more than {MAX_COMMON} frequent words")
+    return frozenset(r["word"] for r in told)
 
 
 def _statistics(spark: SparkSession, d: str) -> DataFrame:
     common = common_words(spark, d)
-    parts = quality.partials(table(spark, d, "documents"), common)
-    return quality.statistics(quality.merged(cut(parts), common))
+    return quality.statistics(quality.merged(quality.pieces(table(spark, d, "documents"), common), common))
 
 
 def p8_statistics(spark: SparkSession, d: str) -> DataFrame:

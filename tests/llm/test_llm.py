@@ -1,12 +1,13 @@
 """Encoding against a library, packing against its limits, statistics against whole texts."""
 
+import json
 import os
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -152,7 +153,7 @@ def test_own_writing():
 
 def kind_of(spark, text, size=quality.CHUNK_CHARS):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    return quality.statistics(quality.merged(quality.partials(df, COMMON, size=size), COMMON)).collect()[0]
+    return quality.statistics(quality.merged(quality.pieces(df, COMMON, size=size), COMMON)).collect()[0]
 
 
 def test_kinds(spark):
@@ -167,38 +168,62 @@ def test_kinds(spark):
             assert kind_of(spark, t).kind == want, (want, t)
 
 
-def test_chunks_give_the_same_counts(spark):
+WORDS = quality.Words(COMMON)
+
+
+def whole_counts(text):
+    return quality.finish(quality.partial(text, WORDS), WORDS)
+
+
+def bracketed(parts, split):
+    """Merges in the order that ``split`` chooses; every state goes through its text form, as between tasks."""
+    if len(parts) == 1:
+        return json.loads(json.dumps(quality.partial(parts[0], WORDS)))
+    k = split(len(parts))
+    return json.loads(json.dumps(quality.merge(bracketed(parts[:k], split), bracketed(parts[k:], split), WORDS)))
+
+
+BITS = ["the ", "registrar ", "x1 ", "said. ", "\n", "\n\n", "a" * 9, "win ", "WIN ", "win", "\t", "  ", " ", "a\tb\tc\n1\t2\t3\nshort\n4\t5\t6\n", "éa", "don't ", "'", "-", ";", ",", "- one\n", "Straße ", "STRASSE ", "0x1f", "!", ":", "\u2003", "\r\n", "99 "]
+
+
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(text=st.lists(st.sampled_from(BITS), max_size=60).map("".join), cuts=st.lists(st.integers(0, 400), max_size=12), seed=st.integers(0, 9), line=st.sampled_from([5, 30, 4096]), token=st.sampled_from([3, 8, 256]))
+def test_any_cuts_and_bracketing_give_all_counts_of_the_whole(monkeypatch, text, cuts, seed, line, token):
+    monkeypatch.setattr(quality, "LINE", line)
+    monkeypatch.setattr(quality, "TOKEN", token)
+    at = [0, *sorted(min(c, len(text)) for c in cuts), len(text)]
+    parts = [text[a:b] for a, b in zip(at, at[1:])]
+    r = random.Random(seed)
+    state = bracketed(parts, lambda n: r.randint(1, n - 1))
+    assert dict(zip(quality.COUNTS, quality.finish(state, WORDS))) == dict(zip(quality.COUNTS, whole_counts(text)))
+
+
+def test_chunks_are_the_text():
     r = random.Random(4)
-    text = "".join(r.choice(["the ", "registrar ", "x1 ", "said. ", "\n", "\n\n", "a" * 30 + " ", "éa", "don't "]) for _ in range(2500))
-    whole = quality.partial(text, COMMON, False, False)[0]
-    for size in (200, 999, 4096):
-        parts = [quality.partial(c, COMMON, a, b) for c, a, b in quality.chunks(text, size)]
-        assert "".join(c for c, _, _ in quality.chunks(text, size)) == text
-        left = parts[0]
-        for p in parts[1:]:
-            left = quality.merge(left, p, COMMON)
+    text = "".join(r.choice(BITS) for _ in range(2500)) + "x" * 3000
+    for size in (7, 200, 999, 4096):
+        parts = quality.chunks(text, size)
+        assert "".join(parts) == text and max(map(len, parts)) <= size
+        assert quality.finish(bracketed(parts, lambda n: n // 2), WORDS) == whole_counts(text)
 
-        def tree(ps):
-            return ps[0] if len(ps) == 1 else quality.merge(tree(ps[: len(ps) // 2]), tree(ps[len(ps) // 2 :]), COMMON)
 
-        assert left == tree(parts)
-        for name in ("chars", "words", "letters", "symbols", "digits", "lines", "ended_lines", "common_words"):
-            i = quality.COUNTS.index(name)
-            assert left[0][i] == whole[i], (size, name)
+def test_state_of_a_chunk_is_bounded():
+    for text in ("a" * 10**6, " " * 10**6, "ab " * 300_000, "\n" * 10**5, "- x\n" * 10**5, "a" + " " * 10**6 + "b"):
+        assert len(json.dumps(quality.partial(text, WORDS))) < 6 * quality.LINE
 
 
-def test_one_word_longer_than_chunks():
-    text = "a" * 1000
-    parts = [quality.partial(c, COMMON, a, b) for c, a, b in quality.chunks(text, 100)]
-    acc = parts[0]
-    for p in parts[1:]:
-        acc = quality.merge(acc, p, COMMON)
-    assert acc[0][quality.COUNTS.index("words")] == 1 and acc[0][quality.COUNTS.index("lines")] == 1
+def test_filler_and_rows_across_cuts():
+    filler = "win WIN win!!! " * 4_800
+    assert quality.finish(bracketed(quality.chunks(filler), lambda n: 1), WORDS) == whole_counts(filler)
+    rows = "a\tb\tc\n1\t2\t3\nshort\n4\t5\t6\n7\t8\t9"
+    for k in range(len(rows)):
+        assert quality.finish(bracketed([rows[:k], rows[k:]], lambda n: 1), WORDS) == whole_counts(rows)
+    assert whole_counts(rows)[quality.COUNTS.index("list_chars")] == 0
 
 
 def test_statistics_of_odd_texts(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, " \n "), (4, PROSE), (4, PROSE), (5, PROSE * 400), (None, "x"), (6, PROSE * 30), (6, PROSE * 30), (None, PROSE * 30), (None, PROSE * 30)], "doc_id long, text string").withColumn("kind", F.lit("clash"))
-    out = quality.statistics(quality.merged(quality.partials(df, COMMON, size=1000), COMMON))
+    out = quality.statistics(quality.merged(quality.pieces(df, COMMON, size=1000), COMMON))
     got = out.collect()
     assert len(got) == 11
     once = kind_of(spark, PROSE * 30, 10**9).n_words
@@ -207,4 +232,4 @@ def test_statistics_of_odd_texts(spark):
     assert by[1].kind is None and by[2].n_words == 0 and by[3].mean_word_length is None
     whole = kind_of(spark, PROSE * 400, 10**9)
     assert by[5].n_words == whole.n_words and by[5].n_lines == whole.n_lines and by[5].kind == "prose"
-    assert quality.merged(quality.partials(df.where("false"), COMMON), COMMON).count() == 0
+    assert quality.merged(quality.pieces(df.where("false"), COMMON), COMMON).count() == 0
