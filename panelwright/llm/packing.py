@@ -31,11 +31,32 @@ class Limits:
     loss_tokens: int = 2_048
 
 
+#: Copies of one row that a task opens at a time.
+STEP = 10_000
+
+
+def dealt(sizes: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Adds ``deal``, a number by which rows are dealt to groups, that depends on the rows alone.
+
+    It is a hash of the row and of its number among equal rows (same key and sizes, which are
+    interchangeable), so it is the same however the input is split, and a row that repeats
+    without end is spread over all groups.  Repeats are counted by a partial aggregate and
+    opened in steps, dealt out in between.
+    """
+    row = [key, "n_tokens", "n_head"]
+    times = sizes.groupBy(*row).agg(F.count(F.lit(1)).alias("times"))
+    once = times.where("times = 1").select(*row, F.lit(0).cast("bigint").alias("copy"))
+    steps = times.where("times > 1").select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("times") - 1) / STEP))).alias("step")).repartition(*row, "step")
+    low = F.col("step") * STEP
+    more = steps.select(*row, F.explode(F.sequence(low, F.least(F.col("times") - 1, low + (STEP - 1)))).alias("copy"))
+    return once.unionByName(more).withColumn("deal", F.xxhash64(*row, "copy")).drop("copy")
+
+
 def pieces(sizes: DataFrame, limits: Limits, key: str = "doc_id") -> DataFrame:
     """Items: each text, or its consecutive pieces if it is longer than a container.
 
     ``sizes`` has ``n_tokens``, ``n_head`` (leading tokens that bear no loss) and ``deal``, a
-    number that differs between rows and deals them to groups.  Pieces are
+    number that differs between rows and deals them to groups (see :func:`dealt`).  Pieces are
     ``limits.tokens`` long but for the last.  A text without tokens is one item of size 0.
     """
     cap = limits.tokens

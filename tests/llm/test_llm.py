@@ -133,6 +133,37 @@ def test_pieces_and_pack(spark):
     assert {r.doc_id for r in packing.pack(packing.pieces(big, L), L, 7).collect()} == {2**60 + 2, 2**60 + 3, 2**60 + 4, None}
 
 
+def test_containers_do_not_depend_on_the_split_of_the_input(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ITEMS", 40)
+    r = random.Random(7)
+    data = [(i, r.randint(0, 30), 0) for i in range(150)] + [(None, 4, 1)] * 60 + [(7, 3, 0)] * 30
+    L = packing.Limits(12, 5, 9)
+    seen = []
+    for k in (1, 5):
+        r.shuffle(data)
+        sizes = spark.createDataFrame(data, "doc_id long, n_tokens long, n_head long").repartition(k)
+        items = packing.pieces(packing.dealt(sizes), L)
+        seen.append(rows(packing.pack(items, L, items.count())))
+    assert seen[0] == seen[1] and sum(t[3] for t in seen[0]) == sum(t[1] for t in data)
+    assert len({t[5].split("-")[0] for t in seen[0] if t[0] is None}) > 1  # repeats of one row are in many groups
+
+
+def test_copies_are_opened_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(packing, "STEP", 10)
+    sizes = spark.createDataFrame([(1, 4, 1)] * 37 + [(2, 4, 1)], "doc_id long, n_tokens long, n_head long")
+    got = packing.dealt(sizes)
+    assert got.count() == 38 and got.select("deal").distinct().count() == 38
+
+
+def test_the_loss_limit_binds():
+    L = packing.Limits(100, 64, 30)
+    tokens, loss = np.array([50] * 8 + [20] * 8), np.array([5] * 8 + [15] * 8)
+    box = packing.pack_arrays(tokens, loss, L)
+    full = [(tokens[box == b].sum(), loss[box == b].sum()) for b in range(box.max() + 1)]
+    assert all(t <= 100 and v <= 30 for t, v in full) and any(v == 30 and t < 100 for t, v in full)
+    assert box.max() + 1 > packing.pack_arrays(tokens, loss, packing.Limits(100, 64, 100)).max() + 1
+
+
 # -- quality ----------------------------------------------------------------------------
 COMMON = frozenset("the of and to a in is it you that was for on are with as at be this have from we i not".split())
 PROSE = "The registrar said that the form was late. We asked the office to send it again, but nobody answered.\nIt is not clear to me why this was so."
