@@ -97,7 +97,7 @@ def codebook(df: DataFrame, definitions: dict[str, str] | None = None) -> list[d
     from panelwright.functions import names
 
     have = df.columns
-    short = names.portable(have)
+    short = names.of(df.sparkSession, have, names.STATISTICS)
     measures = {c for c in have if f"{c}__status" in have}
     out = []
     for f in df.schema.fields:

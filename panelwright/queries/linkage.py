@@ -107,11 +107,12 @@ def _crosswalk(spark, d):
     return rows.select("cw_year", "opeid", F.when(match, token).otherwise("No match").alias("ipedsmatch"), F.when(match, "No match").otherwise(unit).alias("addmatch"), F.lit("-2").alias("ipedsmain"), F.lit("1.0").alias("source"), F.lit("-2").alias("ipedsrpt"))
 
 
-_SITES = "site AS (SELECT y0, op, MIN(unitid) AS a, MAX(unitid) AS b FROM fam WHERE op IS NOT NULL AND y0 IS NOT NULL AND unitid BETWEEN 100000 AND 999999 GROUP BY y0, op)"
+_SITES = """unit_ AS (SELECT DISTINCT y0, op, unitid FROM fam WHERE op IS NOT NULL AND y0 IS NOT NULL AND unitid BETWEEN 100000 AND 999999),
+ site AS (SELECT y0, op, MIN(unitid) AS a, COUNT(*) AS n FROM unit_ GROUP BY y0, op)"""
 
 
 @query(
-    f"""WITH {_BASE}, {_SITES}, rel AS (SELECT y0 AS cw_year, op AS opeid8, a AS unitid, 'primary_match' AS relation_type FROM site UNION ALL SELECT y0, op, b, 'additional_match' FROM site WHERE a <> b UNION ALL SELECT y0, op, NULL, 'unparsed_site_match' FROM site WHERE a % 41 = 0)
+    f"""WITH {_BASE}, {_SITES}, rel AS (SELECT u.y0 AS cw_year, u.op AS opeid8, u.unitid, CASE WHEN u.unitid = s.a THEN 'primary_match' ELSE 'additional_match' END AS relation_type FROM unit_ u JOIN site s ON s.y0 = u.y0 AND s.op = u.op UNION ALL SELECT y0, op, NULL, 'unparsed_site_match' FROM site WHERE a % 41 = 0)
  SELECT CAST(cw_year AS INTEGER) AS cw_year, relation_type, COUNT(*) AS n, COUNT(DISTINCT unitid) AS n_units FROM rel GROUP BY cw_year, relation_type"""
 )
 def crosswalk_relations(spark, d):
@@ -127,7 +128,7 @@ def _resolved(spark, d):
     return linkage.resolve(base, directory, rec, rel), directory, rel
 
 
-_RESOLVED = f"""{_BASE}, {_SITES}, g AS (SELECT ms.*, coalesce(h.n, 0) AS nh, coalesce(h.na, 0) AS nna, h.u AS uh, s.a, CASE WHEN s.a IS NULL THEN 0 WHEN s.a = s.b THEN 1 ELSE 2 END AS ns FROM ms LEFT JOIN st h ON h.op = ms.op AND h.y = ms.y0 LEFT JOIN site s ON s.op = ms.op AND s.y0 = ms.y0),
+_RESOLVED = f"""{_BASE}, {_SITES}, g AS (SELECT ms.*, coalesce(h.n, 0) AS nh, coalesce(h.na, 0) AS nna, h.u AS uh, s.a, coalesce(s.n, 0) AS ns FROM ms LEFT JOIN st h ON h.op = ms.op AND h.y = ms.y0 LEFT JOIN site s ON s.op = ms.op AND s.y0 = ms.y0),
  k AS (SELECT g.*, CASE WHEN ns = 1 THEN a WHEN ns = 0 THEN uh END AS guess FROM g), m AS (SELECT k.*, d.unitid AS ku, d.admin AS kadmin, coalesce(d.op = k.op, FALSE) AS member FROM k LEFT JOIN dir d ON d.y = k.y0 AND d.unitid = k.guess),
  res AS (SELECT *, CASE WHEN a % 41 = 0 THEN 'crosswalk_site_parse_incomplete' WHEN ns > 1 THEN 'multiple_official_site_unitids' WHEN ns = 1 AND nh > 0 AND NOT member THEN 'directory_crosswalk_identity_conflict' WHEN ns = 1 AND nh > 1 AND nna - (member AND NOT coalesce(kadmin, FALSE))::INT > 0 THEN 'multiple_nonadministrative_directory_unitids'
  WHEN ns = 1 AND ku IS NULL THEN 'crosswalk_site_missing_annual_directory' WHEN ns = 1 AND member THEN 'official_site_and_directory_agree' WHEN ns = 1 THEN 'official_site_alias_annual_unitid_verified' WHEN nh = 1 THEN 'unique_annual_directory_only' WHEN nh > 1 THEN 'multiple_exact_directory_unitids' WHEN NOT la THEN 'annual_directory_unavailable' ELSE 'no_annual_site_match' END AS rs FROM m),
@@ -144,7 +145,7 @@ def linkage_resolution(spark, d):
 
 
 @query(
-    f"""WITH {_RESOLVED}, u AS (SELECT y, unitid AS u, 1 AS d, NULL AS c, NULL AS b FROM dir UNION ALL SELECT y0, a, NULL, 1, NULL FROM site UNION ALL SELECT y0, b, NULL, 1, NULL FROM site UNION ALL SELECT y0, unit, NULL, NULL, 1 FROM brg WHERE unit IS NOT NULL), p AS (SELECT y, u, MAX(d) AS d, MAX(c) AS c, MAX(b) AS b FROM u GROUP BY y, u)
+    f"""WITH {_RESOLVED}, u AS (SELECT y, unitid AS u, 1 AS d, NULL AS c, NULL AS b FROM dir UNION ALL SELECT y0, unitid, NULL, 1, NULL FROM unit_ UNION ALL SELECT y0, unit, NULL, NULL, 1 FROM brg WHERE unit IS NOT NULL), p AS (SELECT y, u, MAX(d) AS d, MAX(c) AS c, MAX(b) AS b FROM u GROUP BY y, u)
  SELECT CAST(y AS INTEGER) AS ipeds_year, CASE WHEN COUNT(d) > 0 THEN COUNT(d) END AS directory_units, COUNT(c) AS crosswalk_units, COUNT(b) AS bridge_units, CASE WHEN COUNT(d) > 0 THEN CAST(SUM((d = 1 AND c = 1)::INT) AS BIGINT) END AS directory_and_crosswalk0,
  CASE WHEN COUNT(d) > 0 THEN COUNT(*) FILTER (d = 1 AND c = 1) END AS directory_and_crosswalk, CASE WHEN COUNT(d) > 0 THEN COUNT(*) FILTER (d = 1 AND b = 1) END AS directory_and_bridge, CASE WHEN COUNT(d) > 0 THEN COUNT(*) FILTER (d = 1 AND b IS NULL AND c IS NULL) END AS directory_only,
  CASE WHEN COUNT(d) > 0 THEN COUNT(*) FILTER (d = 1 AND b IS NULL AND c = 1) END AS unrepresented_with_crosswalk, CASE WHEN COUNT(d) > 0 THEN COUNT(*) FILTER (b = 1 AND d IS NULL) END AS bridge_not_in_directory FROM p GROUP BY y""".replace("CASE WHEN COUNT(d) > 0 THEN CAST(SUM((d = 1 AND c = 1)::INT) AS BIGINT) END AS directory_and_crosswalk0,\n", "")

@@ -429,7 +429,7 @@ def value_label_encode(spark, d):
 
 
 @query(
-    """WITH v AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, o_orderstatus AS st, CASE WHEN o_custkey % 50 = 0 THEN 'old' ELSE 'std' END AS lab, o_custkey % 3 AS var FROM orders WHERE o_custkey % 50 = CASE WHEN year(o_orderdate) < 1998 THEN 0 ELSE 1 END),
+    """WITH v AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, o_orderstatus AS st, CASE WHEN year(o_orderdate) < 1998 THEN 'old' ELSE 'std' END AS lab, o_custkey % 3 AS var FROM orders),
  y AS (SELECT DISTINCT var, st, lab, y FROM v), i AS (SELECT *, y - row_number() OVER (PARTITION BY var, st, lab ORDER BY y) AS g FROM y), r AS (SELECT var, st, lab, MIN(y) AS a, MAX(y) AS b FROM i GROUP BY var, st, lab, g),
  t AS (SELECT var, st, lab, MIN(a) AS f, string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE CAST(a AS VARCHAR) || '-' || CAST(b AS VARCHAR) END, ',' ORDER BY a) || ': ' || lab AS s FROM r GROUP BY var, st, lab)
  SELECT var AS variable, st AS code, string_agg(s, '; ' ORDER BY f, s) AS labels FROM t GROUP BY var, st"""
@@ -698,12 +698,29 @@ def comparability_catalog(spark, d):
     return out.select("comparison_id", "variable", F.size("dictionary_years").cast("bigint").alias("n_years"))
 
 
-@query()
+WIDE = 2_000
+
+
+@query(
+    f"""WITH c AS (SELECT i, COUNT(*) AS n, COUNT(*) FILTER (WHERE (c_custkey + i) % 997 = 0 AND i % 3 = 0) AS changed, COUNT(*) FILTER (WHERE (c_custkey + i) % 1009 = 0 AND i % 7 = 1) AS emptied FROM customer, range({WIDE}) t(i) GROUP BY i)
+ SELECT 'm' || CAST(i AS VARCHAR) AS "column", n AS compared_rows, changed + emptied AS mismatched_cells FROM c"""
+)
 def wide_frame_conservation(spark, d):
-    """A table of 600 columns compared with itself in chunks of columns."""
-    o = table(spark, d, "customer")
-    wide = o.select("c_custkey", *[(F.col("c_acctbal") + i).alias(f"m{i}") for i in range(600)])
-    return conserve.cell_differences(wide, wide, ["c_custkey"])
+    """A table of 2,000 columns compared with a copy in which some cells are changed and some are empty."""
+    key = F.col("c_custkey")
+    o = table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    cells = [(F.col("c_acctbal") + i) for i in range(WIDE)]
+
+    def copied(c, i):
+        if i % 3 == 0 and i % 7 == 1:
+            return F.when((key + i) % 997 == 0, c - 1).when((key + i) % 1009 != 0, c)
+        if i % 3 == 0:
+            return F.when((key + i) % 997 == 0, c - 1).otherwise(c)
+        return F.when((key + i) % 1009 != 0, c) if i % 7 == 1 else c
+
+    wide = o.select("c_custkey", *[c.alias(f"m{i}") for i, c in enumerate(cells)])
+    copy = o.select("c_custkey", *[copied(c, i).alias(f"m{i}") for i, c in enumerate(cells)])
+    return conserve.cell_differences(wide, copy, ["c_custkey"])
 
 
 @query("SELECT 'fam|' || CAST(year(o_orderdate) AS VARCHAR) || '|' || coalesce(CASE WHEN o_orderkey % 5 > 0 THEN 'file.xlsx' END, '') || '|' || CAST(o_orderkey AS VARCHAR) || '|' || CASE WHEN o_custkey % 3 = 0 THEN 'UNITID_ONLY' ELSE lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS source_record_id FROM orders")
