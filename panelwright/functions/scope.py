@@ -79,7 +79,8 @@ def geography(states: list[Column], types: list[Column]) -> Column:
 def record_flags(columns: list[str], year: Column) -> dict[str, Column]:
     """Flags of a directory record, false where evidence is missing.
 
-    ``columns`` are the record's columns; role and parent columns are found by prefix.
+    ``columns`` are the record's columns; role and parent columns are found by prefix.  The four
+    scope columns must all be there and hold documented codes for ``flags_available``.
     """
     have = {c.lower() for c in columns}
 
@@ -92,7 +93,8 @@ def record_flags(columns: list[str], year: Column) -> dict[str, Column]:
     relations = [c for c in sorted(have) if c.startswith(("prch_", "idx_", "prchtp_"))]
     flag = num("opeflag")
     full = (flag == 1) | ((flag == 4) & ((year == 2000) | (year >= 2002))) | ((flag == 8) & (year >= 2004))
-    needed = [scope_code_valid(F.col(c), c.split("_")[0], year, c.endswith("_f")) for c in ("prch_f", "idx_f", "prch_sfa", "idx_sfa") if c in have]
+    scope = ("prch_f", "idx_f", "prch_sfa", "idx_sfa")
+    needed = [scope_code_valid(F.col(c), c.split("_")[0], year, c.endswith("_f")) if c in have else F.lit(False) for c in scope]
     flags_told = F.col("ipeds_flags_available") if "ipeds_flags_available" in have else F.lit(False)
     no_date = text("closedat").isNull() | text("closedat").isin("", "-1", "-2", "-9", "NAN", "NONE", "NA")
     return {

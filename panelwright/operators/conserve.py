@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Columns packed into one struct, below the limit of code generation.
-COLUMNS_AT_ONCE = 90
+#: Columns of one type packed into one array, below the limit of code generation.
+COLUMNS_AT_ONCE = 64
+
+
+def _unequal_at(x: Column, y: Column):
+    return lambda _, k: ~F.get(x, k).eqNullSafe(F.get(y, k))
 
 
 def cell_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
@@ -14,26 +18,29 @@ def cell_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list[
 
     Cells are equal if both are null, both NaN, or the same value; nothing is rounded.  Rows
     on one side only count as mismatches of every column.  Types must be equal.  There is one
-    join whatever the number of columns: they are packed into structs, rows whose structs are
-    equal are done, and only the others are taken apart.
+    join whatever the number of columns: columns of one type are packed into arrays, arrays
+    that are equal are done, and only the others are taken apart.
     """
     columns = columns or [c for c in a.columns if c not in keys]
     ta, tb = dict(a.dtypes), dict(b.dtypes)
     other = [c for c in columns if ta[c] != tb.get(c)]
     if other:
         raise TypeError(f"columns of different types: {other}")
-    groups = [columns[i : i + COLUMNS_AT_ONCE] for i in range(0, len(columns), COLUMNS_AT_ONCE)]
+    groups = []
+    for kind in dict.fromkeys(ta[c] for c in columns):
+        own = [c for c in columns if ta[c] == kind]
+        groups += [own[i : i + COLUMNS_AT_ONCE] for i in range(0, len(own), COLUMNS_AT_ONCE)]
 
     def packed(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*keys, *[F.struct(*[F.col(c) for c in g]).alias(f"{side}{i}") for i, g in enumerate(groups)])
+        return df.select(*keys, *[F.array(*[F.col(c) for c in g]).alias(f"{side}{i}") for i, g in enumerate(groups)])
 
     j = packed(a, "__a").join(packed(b, "__b"), keys, "full")
-    same, names = F.lit(True), []
+    names = []
     for i, g in enumerate(groups):
-        x, y = F.col(f"__a{i}"), F.col(f"__b{i}")
-        same = same & x.isNotNull() & y.isNotNull() & x.eqNullSafe(y)
-        names += [F.when(x.isNull() | y.isNull() | ~x[c].eqNullSafe(y[c]), F.lit(c)) for c in g]
-    told = F.when(same, F.array(F.lit("*"))).otherwise(F.concat(F.array(F.lit("*")), F.array_compact(F.array(*names))))
+        x, y, known = F.col(f"__a{i}"), F.col(f"__b{i}"), F.array(*[F.lit(c) for c in g])
+        apart = F.filter(known, _unequal_at(x, y))
+        names.append(F.when(x.isNull() | y.isNull(), known).when(x.eqNullSafe(y), F.array().cast("array<string>")).otherwise(apart))
+    told = F.concat(F.array(F.lit("*")), *names)
     counts = j.select(F.explode(told).alias("column")).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
     every = a.sparkSession.createDataFrame([(c,) for c in columns], "column string")
     total = counts.where("column = '*'").select(F.col("n").alias("compared_rows"))

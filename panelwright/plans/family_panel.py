@@ -7,9 +7,14 @@ filled with zero.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.functions.measures import component_sum
+
+BLOCKED = "incomplete_blocked_unitid_family"
 INCLUDED = "included_unique_family_record"
 MULTIPLE = "ambiguous_family_multiple_records"
 UNRESOLVED = "excluded_annual_identity_unresolved"
@@ -22,7 +27,8 @@ def dispositions(records: DataFrame, eligible: Column, guard: Column | None = No
 
     ``guard`` may name a further reason to exclude an identified record; such a record still
     competes, so no accepted record can hide a conflict with it.  Multiplicity is an aggregate
-    joined back, so a key with many records is a few rows after the map side.
+    joined back, so a key with many records is a few rows after the map side.  Records that
+    are not identified take no part in the join.
     """
     first = F.when(~F.coalesce(eligible, F.lit(False)) | F.col("unitid").isNull(), UNRESOLVED)
     if guard is not None:
@@ -30,19 +36,22 @@ def dispositions(records: DataFrame, eligible: Column, guard: Column | None = No
     rows = records.withColumn("identity_guard_status", first.otherwise("candidate"))
     identified = rows.where(F.col("identity_guard_status") != UNRESOLVED)
     counts = identified.groupBy(*KEYS, "family").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    joined = rows.join(counts, [*KEYS, "family"], "left")
-    status = F.when(F.col("identity_guard_status") == UNRESOLVED, UNRESOLVED).when(F.col("__n") > 1, MULTIPLE).when(F.col("identity_guard_status") == "candidate", INCLUDED).otherwise(F.col("identity_guard_status"))
-    return joined.withColumn("record_disposition", status).drop("__n")
+    joined = identified.join(counts, [*KEYS, "family"], "left")
+    status = F.when(F.col("__n") > 1, MULTIPLE).when(F.col("identity_guard_status") == "candidate", INCLUDED).otherwise(F.col("identity_guard_status"))
+    rest = rows.where(F.col("identity_guard_status") == UNRESOLVED).withColumn("record_disposition", F.lit(UNRESOLVED))
+    return joined.withColumn("record_disposition", status).drop("__n").select(*rest.columns).unionByName(rest)
 
 
-def unit_panel(records: DataFrame, families: list[str], measures: list[str], reports: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+def unit_panel(records: DataFrame, families: list[str], measures: list[str], reports: DataFrame, headers: DataFrame | None = None, companions: tuple[str, ...] = ()) -> DataFrame:
     """Wide panel: per family the record's status, count and measures with a status for every cell.
 
     ``records`` come from :func:`dispositions`, with ``<measure>`` and ``<measure>__status``.
     ``reports`` has (family, award_year_start) of the reports there are, ``headers`` has
     (family, award_year_start, measure) of the columns they hold.  A missing cell says why:
     the record is blocked, there is no report, the report lacks the column, or it has no such
-    record.  One aggregate per key builds all families at once.
+    record.  ``companions`` are further ``<measure>__<companion>`` columns (the token as
+    delivered, bounds) that an included record brings along.  One aggregate per key builds all
+    families at once.
     """
     known = records.where(F.col("identity_guard_status") != UNRESOLVED)
     agg = []
@@ -52,6 +61,7 @@ def unit_panel(records: DataFrame, families: list[str], measures: list[str], rep
         agg += [F.count_if(own).alias(f"{f}__unitid_source_record_count"), F.max(F.when(own, F.col("record_disposition"))).alias(f"__{f}_one")]
         for m in measures:
             agg += [F.max(F.when(inc, F.col(m))).alias(f"{f}__{m}"), F.max(F.when(inc, F.col(f"{m}__status"))).alias(f"{f}__{m}__status")]
+            agg += [F.max(F.when(inc, F.col(f"{m}__{k}"))).alias(f"{f}__{m}__{k}") for k in companions]
     wide = known.groupBy(*KEYS).agg(*agg)
     have = reports.groupBy("award_year_start").agg(F.collect_set("family").alias("__reports"))
     wide = wide.join(F.broadcast(have), "award_year_start", "left")  # one row per calendar year
@@ -72,10 +82,24 @@ def unit_panel(records: DataFrame, families: list[str], measures: list[str], rep
             if headers is not None:
                 gap = gap.when(~F.coalesce(F.array_contains("__headers", f"{f}|{m}"), F.lit(False)), "unavailable_in_schema")
             cell = F.when(status == INCLUDED, F.col(f"{f}__{m}__status")).when(status != ABSENT, status).otherwise(gap.otherwise(ABSENT))
-            out += [F.col(f"{f}__{m}"), cell.alias(f"{f}__{m}__status")]
+            out += [F.col(f"{f}__{m}"), cell.alias(f"{f}__{m}__status"), *[F.col(f"{f}__{m}__{k}") for k in companions]]
     return wide.select(*out, included.alias("included_source_family_count"), blocked.alias("blocked_source_family_count"))
 
 
+def combined(panel: DataFrame, name: str, measure: str, families: list[str], needed: dict[str, Column]) -> DataFrame:
+    """Adds ``<name>__<measure>``, its status and observed partial sum over several families of a panel.
+
+    ``needed`` tells in which rows a family is needed (all are by default).  Where a needed
+    family is blocked there is no sum, and the status says so.
+    """
+    need = [needed.get(f, F.lit(True)) for f in families]
+    total = component_sum([F.col(f"{f}__{measure}") for f in families], need)
+    stuck = [q & ~F.col(f"{f}__unitid_record_status").isin(INCLUDED, ABSENT) for f, q in zip(families, need)]
+    blocked = reduce(lambda a, b: a | b, stuck)
+    out = f"{name}__{measure}"
+    return panel.withColumns({out: F.when(~blocked, total["value"]), f"{out}__status": F.when(blocked, BLOCKED).otherwise(total["status"]), f"{out}__observed_partial_sum": total["observed_partial_sum"]})
+
+
 def guard_orphans(orphans: DataFrame, memberships: DataFrame | None) -> DataFrame:
     """Guard status of verified unit-only records: blocked where another membership overlaps.
 

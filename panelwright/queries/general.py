@@ -122,7 +122,7 @@ def p4_changes(spark: SparkSession, d: str) -> DataFrame:
     """Every column's change from the load before (its keys left out): null rate, total variation, stability index, chi-square."""
     both = profile.compared(_frequencies(spark, d), RULES)
     rate = F.col("n_null") / F.col("n_rows") - F.col("previous_n_null") / F.col("previous_n_rows")
-    return both.select(*profile.LOAD, "field_name", rate.alias("null_rate_change"), "total_variation", "stability_index", "chi_square")
+    return both.select(*profile.LOAD, "field_name", F.round(rate, 9).alias("null_rate_change"), F.round("total_variation", 9).alias("total_variation"), F.round("stability_index", 9).alias("stability_index"), F.round("chi_square", 6).alias("chi_square"))
 
 
 # -- p5 ---------------------------------------------------------------------------------

@@ -30,6 +30,18 @@ _HISTORY = f"""WITH {CURRENT}, v AS (SELECT unitid, ipeds_year AS y, {_code('ope
  n AS (SELECT *, SUM(starts) OVER (PARTITION BY unitid ORDER BY y) AS version FROM g)
  SELECT unitid, CAST(MIN(y) AS INTEGER) AS valid_from, CAST(MAX(y) AS INTEGER) AS valid_to FROM n GROUP BY unitid, version"""
 
+
+
+def _code_text(c: str) -> str:
+    n = _NUM.format(c=c)
+    s = f"trim({c}, ' \t\r\n')"
+    return f"CASE WHEN {s} IS NULL OR {s} IN ('', '.') OR {n} < 0 THEN NULL WHEN {n} IS NOT NULL THEN regexp_replace(regexp_replace(CAST({n} AS VARCHAR), '0+$', ''), '\\.$', '') ELSE lower({s}) END"
+
+
+_VERSIONS = _HISTORY.replace(_code("opeflag"), _code_text("opeflag")).replace(_code("newid"), _code_text("newid")).replace(_code("deathyr"), _code_text("deathyr")).replace(_code("closedat"), _code_text("closedat")).replace(
+    "CAST(MAX(y) AS INTEGER) AS valid_to FROM", "CAST(MAX(y) AS INTEGER) AS valid_to, MIN(a) AS opeflag, MIN(b) AS newid, MIN(c) AS deathyr, MIN(e) AS closedat, CAST(COUNT(*) AS INTEGER) AS n_periods FROM"
+)
+
 _LINKS = f"""{CURRENT}, claim AS (SELECT 'sfa' AS component, ipeds_year, unitid, {_id('idx_sfa')} AS parent FROM cur UNION ALL SELECT 'f', ipeds_year, unitid, {_id('idx_f')} FROM cur),
  edge AS (SELECT c.* FROM claim c JOIN cur p ON p.ipeds_year = c.ipeds_year AND p.unitid = c.parent WHERE c.parent <> c.unitid),
  node AS (SELECT component, ipeds_year, unitid FROM edge UNION SELECT component, ipeds_year, parent FROM edge)"""
@@ -67,6 +79,25 @@ _FINDINGS = f"""WITH {_PANEL} SELECT load_id, field_name, 'pattern' AS finding F
  UNION ALL SELECT load_id, field_name, 'distribution' FROM seq WHERE field_name = 'grant__pell_recipients' AND prev IS NOT NULL AND (med > 2.5 * pmed OR pmed > 2.5 * med)
  UNION ALL SELECT load_id, field_name, 'value_range' FROM seq WHERE field_name = 'grant__pell_recipients' AND top > 20 * ptop"""
 
+_NUMBERS = ["panel_row_id", "unitid", "ipeds_year", "fsa_year_offset", "grant__pell_recipients", "grant__pell_disbursements"]
+_TEXTS = ["merge_status", "has_usable_fsa_record", "grant__opeid8", "grant__pell_recipients__status", "grant__pell_recipients__raw_token", "loaded_at"]
+_ALL = " UNION ALL ".join(
+    [f"SELECT feed_no, load_seq, load_id, '{c}' AS field_name, CASE WHEN isnan({c}::DOUBLE) THEN 'NaN' ELSE CAST({c} AS VARCHAR) END AS v, CAST({c} AS DOUBLE) AS x FROM mp" for c in _NUMBERS]
+    + [f"SELECT feed_no, load_seq, load_id, '{c}', CAST({c} AS VARCHAR), NULL FROM mp" for c in _TEXTS]
+)
+_CELLS = f"""mp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY panel_row_id ORDER BY loaded_at DESC) AS rn FROM master_panel) WHERE rn = 1), cell AS ({_ALL}),
+ c AS (SELECT *, x IS NOT NULL AND NOT isnan(x) AND x >= 0 AND x = floor(x) AS whole, v IS NOT NULL AND CASE field_name WHEN 'merge_status' THEN v NOT IN ('matched','ipeds_only') WHEN 'has_usable_fsa_record' THEN v NOT IN ('True','False') WHEN 'grant__pell_recipients' THEN isnan(x) OR x < 0 OR x <> floor(x) ELSE FALSE END AS bad FROM cell)"""
+
+_PROFILE = f"""WITH {_CELLS} SELECT feed_no, load_seq, load_id, field_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(v) AS n_null, COUNT(*) FILTER (isnan(x)) AS n_nan, COUNT(DISTINCT v) AS n_distinct, COUNT(*) FILTER (bad) AS n_violations,
+ MIN(x) FILTER (NOT isnan(x)) AS min_number, MAX(x) FILTER (NOT isnan(x)) AS max_number, MIN(v) AS min_value, MAX(v) AS max_value, MAX(x) FILTER (whole) AS max_whole, COUNT(*) FILTER (whole) AS n_whole FROM c GROUP BY feed_no, load_seq, load_id, field_name"""
+
+_CHANGES = f"""WITH {_CELLS}, per AS (SELECT feed_no, load_seq, load_id, field_name, COUNT(*) AS n, COUNT(*) - COUNT(v) AS nulls FROM c GROUP BY ALL), seq AS (SELECT *, lag(load_id) OVER w AS prev, lag(n) OVER w AS pn, lag(nulls) OVER w AS pnulls FROM per WINDOW w AS (PARTITION BY feed_no, field_name ORDER BY load_seq)),
+ freq AS (SELECT load_id, field_name, v, COUNT(*) AS k FROM c WHERE v IS NOT NULL GROUP BY ALL), both_ AS (SELECT q.load_id, q.field_name, f.v, f.k AS a, 0 AS b FROM seq q JOIN freq f ON f.load_id = q.load_id AND f.field_name = q.field_name UNION ALL SELECT q.load_id, q.field_name, f.v, 0, f.k FROM seq q JOIN freq f ON f.load_id = q.prev AND f.field_name = q.field_name),
+ met AS (SELECT load_id, field_name, v, SUM(a) AS a, SUM(b) AS b FROM both_ GROUP BY ALL), tot AS (SELECT load_id, field_name, SUM(a) AS na, SUM(b) AS nb FROM met GROUP BY ALL),
+ sh AS (SELECT m.load_id, m.field_name, t.na, t.nb, m.a / t.na AS p, m.b / t.nb AS q, greatest(m.a / t.na, 1e-4) AS pf, greatest(m.b / t.nb, 1e-4) AS qf FROM met m JOIN tot t ON t.load_id = m.load_id AND t.field_name = m.field_name WHERE t.na > 0 AND t.nb > 0),
+ d AS (SELECT load_id, field_name, SUM(abs(p - q)) / 2 AS tv, SUM((pf - qf) * ln(pf / qf)) AS psi, SUM((p - q) * (p - q) / (p + q)) * MAX(na) * MAX(nb) * 2 / (MAX(na) + MAX(nb)) AS chi FROM sh GROUP BY ALL)
+ SELECT s.feed_no, s.load_seq, s.load_id, s.field_name, round(nulls / n - pnulls / pn, 9) AS null_rate_change, round(tv, 9) AS total_variation, round(psi, 9) AS stability_index, round(chi, 6) AS chi_square FROM seq s LEFT JOIN d ON d.load_id = s.load_id AND d.field_name = s.field_name"""
+
 _REFS = f"""{CURRENT}, fam AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY loaded_at DESC) AS rn FROM family_records) WHERE rn = 1),
  ref AS (SELECT 'ipeds_directory' AS source_table, 'idx_sfa' AS field_name, ipeds_year AS ref_year, unitid AS record_key, {_id('idx_sfa')} AS ref_unitid FROM cur UNION ALL SELECT 'ipeds_directory', 'idx_f', ipeds_year, unitid, {_id('idx_f')} FROM cur
  UNION ALL SELECT 'family_records', 'unitid', TRY_CAST(substr(trim(award_year), 1, 4) AS INTEGER), record_id, CASE WHEN unitid >= 0 THEN unitid END FROM fam),
@@ -79,6 +110,9 @@ SQL = {
     "p2_tree": f"{_PATHS} SELECT s.component, s.ipeds_year, s.unitid, s.root AS root_unitid, CAST(CASE WHEN s.loop THEN -2 ELSE s.depth END AS INTEGER) AS tree_depth, array_to_string(s.path, '/') AS path, s.n - 1 AS n_descendants, p.head, CAST(p.at AS INTEGER) AS at, p.spot AS first_position, p.spot + s.n - 1 AS last_position FROM st s JOIN pos p USING (component, ipeds_year, unitid)",
     "p2_descendants": f"{_PATHS} SELECT component, ipeds_year, here AS unitid, unitid AS descendant, CAST(dist AS INTEGER) AS distance FROM anc WHERE dist > 0",
     "p3_found": _HISTORY,
+    "p3_history": _VERSIONS,
+    "p4_profile": _PROFILE,
+    "p4_changes": _CHANGES,
     "p4_found": _FINDINGS,
     "p5_found": f"WITH {_REFS} SELECT source_table, field_name, CAST(ref_year AS INTEGER) AS ref_year, record_key, ref_unitid, kind FROM orphan",
     "p5_report": f"WITH {_REFS} SELECT source_table, field_name, CAST(ref_year AS INTEGER) AS ref_year, kind, COUNT(*) AS n_references, COUNT(DISTINCT ref_unitid) AS n_units FROM orphan GROUP BY ALL",

@@ -53,6 +53,10 @@ def _int(c: str) -> str:
     return _INT.format(c=c)
 
 
+#: Whether a record's scope is told: the source says so, and all four fields hold documented codes.
+_FLAGS = f"""coalesce(ipeds_flags_available, FALSE) AND coalesce({_int('prch_f')} IN (-2,1,2,3,4,5) OR ({_int('prch_f')} = 6 AND ipeds_year >= 2016), FALSE) AND coalesce({_int('prch_sfa')} IN (-2,1,2), FALSE)
+ AND coalesce({_int('idx_f')} = -2 OR {_int('idx_f')} > 0, FALSE) AND coalesce({_int('idx_sfa')} = -2 OR {_int('idx_sfa')} > 0, FALSE)"""
+
 _BASE = f"""{CURRENT}, dir AS (SELECT ipeds_year AS y, unitid, {_OP.format(c='opeid8')} AS op, coalesce({_int('sector')} = 0, FALSE) AS admin, coalesce({_int('cyactive')} IN (0,2,3), FALSE) OR coalesce(upper(trim(act)) IN ('C','D','I','O','W','X'), FALSE) AS inactive, instnm, stabbr FROM cur),
  fam AS (SELECT *, {_OP.format(c='opeid8')} AS op, TRY_CAST(substr(trim(award_year), 1, 4) AS INTEGER) AS y0 FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY loaded_at DESC) AS rn FROM family_records) WHERE rn = 1),
  rep AS (SELECT DISTINCT op, y0 FROM fam WHERE op IS NOT NULL AND y0 IS NOT NULL),
@@ -74,7 +78,21 @@ def linkage_base_match(spark, d):
     return b.select("opeid8", "award_year", "ipeds_year", "unitid", "ipeds_match_status", "candidate_count", "anchor_sensitivity", "lifetime_unitids", "lifetime_opeids")
 
 
-@query()
+_STRICT = f"""{_BASE}, flg AS (SELECT ipeds_year AS y, unitid, coalesce({_int('sector')} = 0, FALSE) AS admin, coalesce({_int('cyactive')} IN (0,2,3), FALSE) OR coalesce(upper(trim(act)) IN ('C','D','I','O','W','X'), FALSE) AS inactive,
+ coalesce({_int('opeflag')} = 2, FALSE) OR coalesce(upper(trim(act)) = 'G', FALSE) AS branch, NOT coalesce({_int('opeflag')} = 1 OR ({_int('opeflag')} = 4 AND (ipeds_year = 2000 OR ipeds_year >= 2002)) OR ({_int('opeflag')} = 8 AND ipeds_year >= 2004), FALSE) AS partly,
+ coalesce({_int('prch_f')} > 0, FALSE) OR coalesce({_int('idx_f')} > 0, FALSE) OR coalesce({_int('prch_sfa')} > 0, FALSE) OR coalesce({_int('idx_sfa')} > 0, FALSE) AS family, {_FLAGS} AS told,
+ coalesce({_int('newid')} > 0, FALSE) OR coalesce({_int('deathyr')} > 0, FALSE) OR coalesce(upper(trim(closedat)) NOT IN ('', '-1', '-2', '-9', 'NAN', 'NONE', 'NA'), FALSE) AS ended, coalesce({_int('sector')} BETWEEN 0 AND 9 AND {_int('cyactive')} IN (1,2,3), FALSE) AS active FROM cur),
+ li AS (SELECT op, COUNT(DISTINCT unitid) AS n FROM dir WHERE op IS NOT NULL GROUP BY op), lu AS (SELECT unitid, COUNT(DISTINCT op) AS n FROM dir WHERE op IS NOT NULL GROUP BY unitid),
+ rt AS (SELECT y, substr(op, 2, 5) AS r, COUNT(DISTINCT unitid) AS n FROM dir WHERE op IS NOT NULL GROUP BY 1, 2), ow AS (SELECT y0, substr(op, 2, 5) AS r, COUNT(*) AS n FROM rep GROUP BY 1, 2),
+ sr AS (SELECT ms.op, ms.status, list_filter([CASE WHEN ms.status <> 'exact_unique' THEN ms.status END, CASE WHEN sens <> 'stable_unique' THEN 'anchor_' || sens END, CASE WHEN coalesce(ra.n, 0) > 1 OR coalesce(rb.n, 0) > 1 THEN 'multiple_ipeds_units_in_opeid_group' END, CASE WHEN ow.n > 1 THEN 'multiple_fsa_rows_in_opeid_group' END,
+ CASE WHEN substr(ms.op, 7, 2) <> '00' OR substr(ms.op, 1, 1) <> '0' THEN 'fsa_additional_location_identifier' END, CASE WHEN li.n > 1 THEN 'opeid_maps_to_multiple_unitids_over_time' END, CASE WHEN ms.status = 'exact_unique' AND lu.n > 1 THEN 'unitid_has_multiple_opeids_over_time' END,
+ CASE WHEN coalesce(a.branch, FALSE) OR coalesce(b.branch, FALSE) THEN 'ipeds_branch_flag' END, CASE WHEN coalesce(a.family, FALSE) OR coalesce(b.family, FALSE) THEN 'ipeds_component_parent_child' END, CASE WHEN coalesce(a.ended, FALSE) OR coalesce(b.ended, FALSE) THEN 'ipeds_merger_or_closure' END,
+ CASE WHEN coalesce(a.admin, FALSE) OR coalesce(b.admin, FALSE) THEN 'ipeds_administrative_unit' END, CASE WHEN coalesce(a.inactive, FALSE) OR coalesce(b.inactive, FALSE) THEN 'ipeds_inactive' END, CASE WHEN a.y IS NULL OR b.y IS NULL OR a.partly OR b.partly THEN 'ipeds_not_full_title_iv' END,
+ CASE WHEN NOT coalesce(a.told AND b.told, FALSE) THEN 'parent_child_metadata_unavailable' END, CASE WHEN NOT coalesce(a.active AND b.active, FALSE) THEN 'activity_metadata_unavailable' END], lambda x: x IS NOT NULL) AS reasons
+ FROM ms LEFT JOIN flg a ON a.y = ms.y0 AND a.unitid = ms.ua LEFT JOIN flg b ON b.y = ms.y0 + 1 AND b.unitid = ms.ub LEFT JOIN li ON li.op = ms.op LEFT JOIN lu ON lu.unitid = ms.ua LEFT JOIN rt ra ON ra.y = ms.y0 AND ra.r = substr(ms.op, 2, 5) LEFT JOIN rt rb ON rb.y = ms.y0 + 1 AND rb.r = substr(ms.op, 2, 5) LEFT JOIN ow ON ow.y0 = ms.y0 AND ow.r = substr(ms.op, 2, 5))"""
+
+
+@query(f"WITH {_STRICT} SELECT status AS ipeds_match_status, reason, COUNT(*) AS n FROM (SELECT status, unnest(CASE WHEN len(reasons) = 0 THEN ['strict'] ELSE reasons END) AS reason FROM sr) GROUP BY status, reason")
 def linkage_strict_reasons(spark, d):
     """Reasons for which a match is not strict, counted."""
     b = linkage.base_match(_reported(spark, d), _directory(spark, d))
@@ -161,23 +179,48 @@ def _family_rows(spark, d):
     return family_panel.dispositions(f, F.coalesce(clean.truth(F.col("ipeds_annual_identity_eligible")), F.lit(False)))
 
 
-@query(
-    """WITH fam AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY loaded_at DESC) AS rn FROM family_records) WHERE rn = 1), g AS (SELECT *, TRY_CAST(substr(trim(award_year), 1, 4) AS INTEGER) AS y, CASE WHEN unitid IS NULL OR NOT coalesce(lower(trim(ipeds_annual_identity_eligible)) IN ('true','t','1','1.0','yes','y'), FALSE) THEN 'excluded_annual_identity_unresolved' ELSE 'candidate' END AS gs FROM fam),
- x AS (SELECT *, CASE WHEN gs <> 'candidate' THEN gs WHEN SUM((gs = 'candidate')::INT) OVER (PARTITION BY unitid, y, family) > 1 THEN 'ambiguous_family_multiple_records' ELSE 'included_unique_family_record' END AS disp FROM g WHERE y IS NOT NULL)
- SELECT family, CAST(y AS INTEGER) AS award_year_start, disp AS record_disposition, COUNT(*) AS n_records FROM x GROUP BY family, y, disp"""
-)
+_DISPOSED = """fam AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY loaded_at DESC) AS rn FROM family_records) WHERE rn = 1), g AS (SELECT *, TRY_CAST(substr(trim(award_year), 1, 4) AS INTEGER) AS y, CASE WHEN unitid IS NULL OR NOT coalesce(lower(trim(ipeds_annual_identity_eligible)) IN ('true','t','1','1.0','yes','y'), FALSE) THEN 'excluded_annual_identity_unresolved' ELSE 'candidate' END AS gs FROM fam),
+ x AS (SELECT *, CASE WHEN gs <> 'candidate' THEN gs WHEN SUM((gs = 'candidate')::INT) OVER (PARTITION BY unitid, y, family) > 1 THEN 'ambiguous_family_multiple_records' ELSE 'included_unique_family_record' END AS disp FROM g WHERE y IS NOT NULL)"""
+
+
+@query(f"WITH {_DISPOSED} SELECT family, CAST(y AS INTEGER) AS award_year_start, disp AS record_disposition, COUNT(*) AS n_records FROM x GROUP BY family, y, disp")
 def family_dispositions(spark, d):
     """What became of each family record, counted."""
     return _family_rows(spark, d).groupBy("family", "award_year_start", "record_disposition").agg(F.count(F.lit(1)).alias("n_records"))
 
 
-@query()
+UNIT_FAMILIES = ["grants", "direct", "campus_based", "ffel"]
+
+
+def _unit_panel_sql() -> str:
+    inc, many, absent = "'included_unique_family_record'", "'ambiguous_family_multiple_records'", "'absent_source_record'"
+    aggs, sts, out = [], [], []
+    for f in UNIT_FAMILIES:
+        own, ok = f"family = '{f}'", f"family = '{f}' AND disp = {inc}"
+        aggs.append(f"COUNT(*) FILTER ({own}) AS n_{f}, MAX(disbursements) FILTER ({ok}) AS v_{f}, MAX(disbursements__status) FILTER ({ok}) AS s_{f}, MAX(disbursements__raw_token) FILTER ({ok}) AS t_{f}")
+        sts.append(f"CASE WHEN n_{f} = 0 THEN {absent} WHEN n_{f} > 1 THEN {many} ELSE {inc} END AS st_{f}, EXISTS (SELECT 1 FROM rpt WHERE rpt.family = '{f}' AND rpt.y = w.y) AS r_{f}")
+        out.append(
+            f"st_{f} AS {f}__unitid_record_status, n_{f} AS {f}__unitid_source_record_count, st_{f} = {inc} AS {f}__source_record_present, v_{f} AS {f}__disbursements, t_{f} AS {f}__disbursements__raw_token,"
+            f" CASE WHEN st_{f} = {inc} THEN s_{f} WHEN st_{f} <> {absent} THEN st_{f} WHEN NOT r_{f} THEN 'report_not_available' ELSE {absent} END AS {f}__disbursements__status"
+        )
+    blocked = f"(st_direct = {many} OR (y <= 2009 AND st_ffel = {many}))"
+    complete = "(v_direct IS NOT NULL AND (v_ffel IS NOT NULL OR y > 2009))"
+    total = "CASE WHEN v_direct IS NOT NULL OR v_ffel IS NOT NULL THEN coalesce(v_direct, 0) + coalesce(v_ffel, 0) END"
+    status = f"CASE WHEN {blocked} THEN 'incomplete_blocked_unitid_family' WHEN v_direct IS NULL AND v_ffel IS NULL THEN 'no_observed_components' WHEN NOT {complete} THEN 'incomplete_component_sum' WHEN y > 2009 THEN 'complete_direct_only_scope' ELSE 'complete_component_sum' END"
+    n_inc = " + ".join(f"(st_{f} = {inc})::INT" for f in UNIT_FAMILIES)
+    n_blk = " + ".join(f"(st_{f} = {many})::INT" for f in UNIT_FAMILIES)
+    return f"""WITH {_DISPOSED}, rpt AS (SELECT DISTINCT family, TRY_CAST(substr(trim(award_year), 1, 4) AS INTEGER) AS y FROM selected_panel_files), w AS (SELECT unitid, y, {', '.join(aggs)} FROM x WHERE gs = 'candidate' GROUP BY unitid, y), z AS (SELECT w.*, {', '.join(sts)} FROM w)
+ SELECT unitid, CAST(y AS INTEGER) AS award_year_start, {', '.join(out)}, CAST({n_inc} AS INTEGER) AS included_source_family_count, CAST({n_blk} AS INTEGER) AS blocked_source_family_count,
+ CASE WHEN NOT {blocked} AND {complete} THEN {total} END AS loan__disbursements, {status} AS loan__disbursements__status, {total} AS loan__disbursements__observed_partial_sum FROM z"""
+
+
+@query(_unit_panel_sql())
 def family_unit_panel(spark, d):
-    """The wide unit panel of the four families with a status for every cell."""
+    """The wide unit panel of the four families with a status for every cell, and the sum of the two loan families."""
     rows = _family_rows(spark, d)
-    families = ["grants", "direct", "campus_based", "ffel"]
     reports = table(spark, d, "selected_panel_files").select("family", clean.award_start(F.col("award_year")).alias("award_year_start")).distinct()
-    return family_panel.unit_panel(rows, families, ["disbursements"], reports)
+    panel = family_panel.unit_panel(rows, UNIT_FAMILIES, ["disbursements"], reports, companions=("raw_token",))
+    return family_panel.combined(panel, "loan", "disbursements", ["direct", "ffel"], {"ffel": F.col("award_year_start") <= 2009})
 
 
 @query(
@@ -189,7 +232,13 @@ def family_status_counts(spark, d):
     return _family(spark, d).groupBy(F.col("disbursements__status").alias("told_status")).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-@query()
+@query(
+    """WITH fam AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY loaded_at DESC) AS rn FROM family_records) WHERE rn = 1), t AS (SELECT disbursements__status AS told, disbursements AS v, trim(disbursements__raw_token, ' 	
+') AS s FROM fam),
+ n AS (SELECT *, CASE WHEN regexp_full_match(s, '-?\\$?-?(\\d{1,3}(,\\d{3})+|\\d+)(\\.\\d*)?') THEN TRY_CAST(replace(replace(s, '$', ''), ',', '') AS DOUBLE) END AS n FROM t),
+ p AS (SELECT *, CASE WHEN s IS NULL OR s = '' THEN 'source_blank' WHEN regexp_full_match(lower(s), '<\\s*10') THEN 'suppressed_lt10' WHEN lower(s) IN ('suppressed', 'redacted', 'privacy suppressed') THEN 'suppressed' WHEN lower(s) IN ('-', '--', '.', 'na', 'n/a', '*') THEN 'source_symbol' WHEN n IS NULL THEN 'invalid_numeric' WHEN n = 0 THEN 'observed_zero' ELSE 'observed' END AS st FROM n)
+ SELECT told AS disbursements__status, st AS parsed_status, COUNT(*) AS n_records, COUNT(*) FILTER ((CASE WHEN st IN ('observed', 'observed_zero') THEN n END) IS NOT DISTINCT FROM v) AS n_same_value FROM p GROUP BY told, st"""
+)
 def family_tokens_parsed(spark, d):
     """M1: raw tokens parsed anew and compared with the delivered status."""
     f = _family(spark, d).withColumn("m", measures.parse(F.col("disbursements__raw_token"), False))
@@ -214,15 +263,15 @@ def directory_geography(spark, d):
 
 
 @query(
-    f"""WITH {CURRENT}, k AS (SELECT ipeds_year AS y, {_int('opeflag')} AS f, {_int('sector')} AS s, {_int('cyactive')} AS c, upper(trim(act)) AS a, {_int('newid')} AS n, {_int('deathyr')} AS dy, upper(trim(closedat)) AS cd, {_int('prch_f')} AS p1, {_int('idx_f')} AS i1, {_int('prch_sfa')} AS p2, {_int('idx_sfa')} AS i2 FROM cur)
+    f"""WITH {CURRENT}, k AS (SELECT ipeds_year AS y, {_int('opeflag')} AS f, {_int('sector')} AS s, {_int('cyactive')} AS c, upper(trim(act)) AS a, {_int('newid')} AS n, {_int('deathyr')} AS dy, upper(trim(closedat)) AS cd, {_int('prch_f')} AS p1, {_int('idx_f')} AS i1, {_int('prch_sfa')} AS p2, {_int('idx_sfa')} AS i2, {_FLAGS} AS told FROM cur)
  SELECT CAST(y AS INTEGER) AS ipeds_year, COUNT(*) AS n_records, COUNT(*) FILTER (s = 0) AS is_administrative, COUNT(*) FILTER (c IN (0,2,3) OR a IN ('C','D','I','O','W','X')) AS is_inactive, COUNT(*) FILTER (f = 2 OR a = 'G') AS is_branch,
  COUNT(*) FILTER (NOT coalesce(f = 1 OR (f = 4 AND (y = 2000 OR y >= 2002)) OR (f = 8 AND y >= 2004), FALSE)) AS not_full_participant, COUNT(*) FILTER (p1 > 0 OR i1 > 0 OR p2 > 0 OR i2 > 0) AS has_parent_child,
- COUNT(*) FILTER (n > 0 OR dy > 0 OR (cd IS NOT NULL AND cd NOT IN ('', '-1', '-2', '-9', 'NAN', 'NONE', 'NA'))) AS merger_or_closure, COUNT(*) FILTER (s BETWEEN 0 AND 9 AND c IN (1,2,3)) AS status_available FROM k GROUP BY y"""
+ COUNT(*) FILTER (n > 0 OR dy > 0 OR (cd IS NOT NULL AND cd NOT IN ('', '-1', '-2', '-9', 'NAN', 'NONE', 'NA'))) AS merger_or_closure, COUNT(*) FILTER (s BETWEEN 0 AND 9 AND c IN (1,2,3)) AS status_available, COUNT(*) FILTER (told) AS flags_available FROM k GROUP BY y"""
 )
 def directory_flags(spark, d):
     """Flags of directory records, counted per year."""
     flags = scope.record_flags(CODES, F.col("ipeds_year"))
-    names = ["is_administrative", "is_inactive", "is_branch", "not_full_participant", "has_parent_child", "merger_or_closure", "status_available"]
+    names = ["is_administrative", "is_inactive", "is_branch", "not_full_participant", "has_parent_child", "merger_or_closure", "status_available", "flags_available"]
     return _directory(spark, d).groupBy("ipeds_year").agg(F.count(F.lit(1)).alias("n_records"), *[F.count_if(flags[k]).alias(k) for k in names])
 
 
