@@ -273,9 +273,9 @@ def renames(columns: DataFrame, rows: DataFrame) -> DataFrame:
     went = turned.where("NOT new").select(*key, F.col("header").alias("old"), F.col("words").alias("z"))
     needed = turned.select("series_id", F.when(F.col("new"), F.col("year")).otherwise(F.col("previous_year")).alias("year"), "header").distinct()
     wanted = needed.groupBy(*FILE).agg(F.collect_set("header").alias("wanted"))
-    per_file = wanted.join(columns.where("n_ids > 0").groupBy(*FILE).agg(F.collect_set("header").alias("ids")), FILE)
-    some = rows.select(*FILE, "cells").join(per_file, FILE)
-    named = some.join(id_columns(some), FILE)
+    per_file = cut(wanted.join(columns.where("n_ids > 0").groupBy(*FILE).agg(F.collect_set("header").alias("ids")), FILE))
+    some = rows.select(*FILE, "cells").join(per_file, FILE)  # written, so that its true size decides whether it is broadcast
+    named = some.join(cut(id_columns(some)), FILE)
     unit = F.get(F.filter("cells", lambda c: c["header"] == F.col("id_header")), F.lit(0))["text"]
     units = named.select(*FILE, canonical(unit).alias("unit"), F.explode(F.filter("cells", lambda c: c["tag"].isNotNull() & F.array_contains("wanted", c["header"]))).alias("c"))
     values = units.where("unit IS NOT NULL").select(*FILE, "unit", "c.header", canonical(F.col("c.text")).alias("canonical")).where("canonical IS NOT NULL")
@@ -439,7 +439,7 @@ def unified(rows: DataFrame, named: DataFrame, fused: DataFrame) -> DataFrame:
     names = columns_of(fused)
     node = ["series_id", "field", "since"]
     told = named.join(fused.where(F.col("column").isin(*names)) if names else fused.limit(0), node)
-    per_file = told.groupBy(*FILE).agg(F.map_from_entries(F.collect_list(F.struct("header", "column"))).alias("place"))
+    per_file = cut(told.groupBy(*FILE).agg(F.map_from_entries(F.collect_list(F.struct("header", "column"))).alias("place")))
     base = rows.join(per_file, FILE, "left")
     full = F.filter("cells", lambda c: c["tag"].isNotNull())
     placed = F.transform(full, lambda c: F.struct(F.try_element_at("place", c["header"]).alias("column"), c["header"].alias("header"), union_of(c).alias("value")))
