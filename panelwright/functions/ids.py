@@ -6,7 +6,7 @@ trailing line end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions import clean
@@ -62,6 +62,21 @@ def opeid_numeric8(c: Column) -> Column:
     return F.when(opeid_format(c) == "numeric8_format_only_not_verified_match", c)
 
 
+def opeid_views(df: DataFrame, column: str) -> DataFrame:
+    """Adds ``<column>__numeric8`` and ``<column>__format`` to a table with stored ids.
+
+    Ids must be stored as text, as numbers lose their leading zeros, and without white space
+    at their ends; both are checked before anything else is done.
+    """
+    kind = df.schema[column].dataType.simpleString()
+    if kind != "string":
+        raise TypeError(f"{column} is stored as {kind}, not as text")
+    c = F.col(column)
+    if not df.where(c != F.btrim(c)).isEmpty():
+        raise ValueError(f"{column} has values with white space at their ends")
+    return df.withColumns({f"{column}__numeric8": opeid_numeric8(c), f"{column}__format": opeid_format(c)})
+
+
 def lossless_integer(c: Column) -> Column:
     """Integer of a canonical spelling only (``-?0|[1-9][0-9]*``), so nothing is lost; else null."""
     return F.when(c.rlike(r"\A(-?[1-9][0-9]*|0)\z"), c.try_cast("bigint"))

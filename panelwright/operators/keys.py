@@ -119,3 +119,29 @@ def set_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     y = b.select(key).where(F.col(key).isNotNull()).distinct().withColumn("__b", F.lit(1))
     m = x.join(y, key, "full")
     return m.agg(F.count_if(F.col("__a").isNotNull() & F.col("__b").isNotNull()).alias("in_both"), F.count_if(F.col("__b").isNull()).alias("left_only"), F.count_if(F.col("__a").isNull()).alias("right_only"))
+
+
+def partner_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(relation, n_distinct, n_keys): how many keys ever have so many partners, in both directions.
+
+    Pairs are made distinct once; a null key or partner pairs with nothing.
+    """
+    pairs = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(a, b).distinct()
+    sides = [pairs.groupBy(x).agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit(f"{y}_per_{x}").alias("relation"), "n_distinct") for x, y in ((a, b), (b, a))]
+    return sides[0].unionByName(sides[1]).groupBy("relation", "n_distinct").agg(F.count(F.lit(1)).alias("n_keys"))
+
+
+def counted_once(left: DataFrame, right: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
+    """Left join to a unique right side that proves that no cell of ``left`` changed.
+
+    Raises if the right key repeats, or if the number of rows or of known cells per column
+    differs after the join: the check is an aggregate of its own over both sides.
+    """
+    joined = checked_join(left, right, on, "left", "many_to_one")
+
+    def known(df: DataFrame) -> list[int]:
+        return list(df.agg(F.count(F.lit(1)), *[F.count(F.col(c)) for c in columns]).collect()[0])
+
+    if known(left) != known(joined):
+        raise KeyViolation("the join changed rows or cells of its left side")
+    return joined

@@ -43,12 +43,15 @@ def scoped_labels(labels: DataFrame, variable: str, year: str, code: str, label:
     return both.groupBy(variable, code).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["t"]), "; ").alias("labels"))
 
 
-def source_audit(dictionary: DataFrame, lineage: DataFrame) -> DataFrame:
+def source_audit(dictionary: DataFrame, lineage: DataFrame | None) -> DataFrame:
     """Whether the table that values came from is the one the dictionary names, per year and variable.
 
     Columns of both: year, variable, variable_id, source_file, access_table_name; lineage may
-    have transformation_id and lineage_role.  Names are compared without case.
+    have transformation_id and lineage_role.  Names are compared without case.  Without any
+    lineage every entry says so.
     """
+    if lineage is None:
+        return dictionary.select("year", "variable", F.lit(0).alias("lineage_source_count"), F.lit("lineage_unavailable").alias("source_metadata_status"))
     ident = ["variable_id", "source_file", "access_table_name"]
     low = [F.lower(F.btrim(F.coalesce(F.col(c), F.lit("")))).alias(c) for c in ident]
     role = F.lit(True)

@@ -6,10 +6,13 @@ branching is a ladder of conditions over these sets.  Several candidates block,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions import ids, scope, text
+from panelwright.operators import skew
 
 
 def crosswalk(frame: DataFrame, year: str = "cw_year") -> tuple[DataFrame, DataFrame]:
@@ -41,6 +44,19 @@ def crosswalk(frame: DataFrame, year: str = "cw_year") -> tuple[DataFrame, DataF
     return found.unionByName(unparsed).unionByName(none), records
 
 
+#: Codes of the source of a match and of the reporting status.
+SOURCE_CODES, REPORTING_CODES = ("1", "2", "3", "4", "5"), ("1", "2", "-2")
+
+
+def require_codes(records: DataFrame) -> DataFrame:
+    """``records`` of :func:`crosswalk` itself if all their codes are documented; else raises.  Null codes are allowed."""
+    bad = ~F.col("cw_source_code").isin(*SOURCE_CODES) | ~F.col("cw_ipeds_reporting_code").isin(*REPORTING_CODES)
+    odd = records.where(F.coalesce(bad, F.lit(False))).select("cw_source_code", "cw_ipeds_reporting_code").limit(3).collect()
+    if odd:
+        raise ValueError(f"undocumented codes in the crosswalk, such as {[tuple(r) for r in odd]}")
+    return records
+
+
 def candidates(directory: DataFrame) -> DataFrame:
     """Per (year, opeid8): number of candidate units, those that are no offices, and the only unit.
 
@@ -61,26 +77,31 @@ def base_match(panel: DataFrame, directory: DataFrame, anchor: str = "start") ->
     """
     start = ids.award_year_start(F.col("award_year"))
     rows = panel.select("opeid8", "award_year", start.alias("y0"), *[c for c in ("descriptor_review_required",) if c in panel.columns]).withColumn("y", F.col("y0") + (0 if anchor == "start" else 1))
-    loaded = directory.select(F.col("ipeds_year").alias("__y")).distinct()  # one row per calendar year
-    years = F.broadcast(loaded)
-    sets = candidates(directory)
-    for name, col in (("s", "y0"), ("e", None)):
-        key = F.col("y0") if col else F.col("y0") + 1
-        side = sets.select(F.col("y").alias(f"{name}_y"), F.col("opeid8").alias(f"{name}_o"), F.col("n").alias(f"{name}_n"), F.col("only").alias(f"{name}_only"))
-        rows = rows.join(side, (key == F.col(f"{name}_y")) & (F.col("opeid8") == F.col(f"{name}_o")), "left").drop(f"{name}_y", f"{name}_o")
-        rows = rows.join(years.withColumnRenamed("__y", f"{name}_year"), key == F.col(f"{name}_year"), "left").withColumn(f"{name}_loaded", F.col(f"{name}_year").isNotNull()).drop(f"{name}_year")
-        rows = rows.withColumn(f"{name}_n", F.coalesce(f"{name}_n", F.lit(0)))
+    years = F.broadcast(directory.select(F.col("ipeds_year").alias("__y")).distinct())  # one row per calendar year
     flags = scope.record_flags(directory.columns, F.col("ipeds_year"))
-    told = directory.select(F.col("ipeds_year").alias("f_y"), F.col("unitid").alias("f_u"), F.struct(*[c.alias(k) for k, c in flags.items()]).alias("flags"))
+    told = F.struct(*[c.alias(k) for k, c in flags.items()])
+    known = directory.where("opeid8 IS NOT NULL").withColumn("__told", told)
+    sets = known.groupBy("ipeds_year", "opeid8").agg(F.count(F.lit(1)).alias("n"), F.min("unitid").alias("u"), F.min("__told").alias("f"))
+    one = F.col("n") == 1  # the flags of an id with one unit come with it
+    side = F.struct("n", F.when(one, F.col("u")).alias("only"), F.when(one, F.col("f")).alias("flags"))
+    sets = sets.select(F.col("ipeds_year").alias("__y"), F.col("opeid8").alias("__o"), side.alias("side"))
     for name, shift in (("s", 0), ("e", 1)):
-        f = told.select(F.col("f_y").alias(f"{name}_fy"), F.col("f_u").alias(f"{name}_fu"), F.col("flags").alias(f"{name}_flags"))
-        rows = rows.join(f, (F.col("y0") + shift == F.col(f"{name}_fy")) & (F.col(f"{name}_only") == F.col(f"{name}_fu")), "left").drop(f"{name}_fy", f"{name}_fu")
+        at = sets.select((F.col("__y") - shift).alias(f"{name}_y"), F.col("__o").alias(f"{name}_o"), F.col("side").alias(name))
+        rows = rows.join(at, (F.col("y0") == F.col(f"{name}_y")) & (F.col("opeid8") == F.col(f"{name}_o")), "left").drop(f"{name}_y", f"{name}_o")
+        rows = rows.join(years.withColumnRenamed("__y", f"{name}_year"), F.col("y0") + shift == F.col(f"{name}_year"), "left").withColumn(f"{name}_loaded", F.col(f"{name}_year").isNotNull()).drop(f"{name}_year")
+        rows = rows.withColumns({f"{name}_n": F.coalesce(F.col(f"{name}.n"), F.lit(0)), f"{name}_only": F.col(f"{name}.only"), f"{name}_flags": F.col(f"{name}.flags")}).drop(name)
     pick = "s" if anchor == "start" else "e"
-    lifetime = directory.where("opeid8 IS NOT NULL")
-    per_id = lifetime.groupBy("opeid8").agg(F.countDistinct("unitid").alias("lifetime_unitids"))
-    per_unit = lifetime.groupBy(F.col("unitid").alias("lu")).agg(F.countDistinct("opeid8").alias("lifetime_opeids"))
-    root = lifetime.groupBy(F.col("ipeds_year").alias("ry"), ids.opeid_root(F.col("opeid8")).alias("rr")).agg(F.countDistinct("unitid").alias("root_units"))
-    own_root = panel.groupBy("award_year", ids.opeid_root(F.col("opeid8")).alias("pr")).agg(F.count(F.lit(1)).alias("root_rows")).withColumnRenamed("award_year", "pa")
+    lifetime = directory.where("opeid8 IS NOT NULL").select("ipeds_year", "unitid", "opeid8")
+    pairs = lifetime.select("unitid", "opeid8").distinct()
+    per_id = pairs.groupBy("opeid8").agg(F.count(F.lit(1)).alias("lifetime_unitids"))
+    per_unit = pairs.groupBy(F.col("unitid").alias("lu")).agg(F.count(F.lit(1)).alias("lifetime_opeids"))
+    grouped = lifetime.groupBy(F.col("ipeds_year").alias("ry"), ids.opeid_root(F.col("opeid8")).alias("rr")).agg(F.countDistinct("unitid").alias("k"))
+    own = panel.groupBy(ids.award_year_start(F.col("award_year")).alias("ry"), "award_year", ids.opeid_root(F.col("opeid8")).alias("rr")).agg(F.count(F.lit(1)).alias("root_rows"))
+    # counts of an id group at its year, the year after, and of its rows: one table, joined once
+    root = grouped.select("ry", "rr", F.col("k").alias("s_root_units"), F.lit(0).cast("bigint").alias("e_root_units"))
+    root = root.unionByName(grouped.select((F.col("ry") - 1).alias("ry"), "rr", F.lit(0).cast("bigint").alias("s_root_units"), F.col("k").alias("e_root_units")))
+    root = root.groupBy("ry", "rr").agg(F.max("s_root_units").alias("s_root_units"), F.max("e_root_units").alias("e_root_units"))
+    root = own.join(root, ["ry", "rr"], "left").select(F.col("award_year").alias("pa"), F.col("rr").alias("pr"), "s_root_units", "e_root_units", "root_rows")
     n, loaded_now, flag = F.col(f"{pick}_n"), F.col(f"{pick}_loaded"), F.col(f"{pick}_flags")
     status = (
         F.when(~loaded_now, "ipeds_year_unavailable")
@@ -92,12 +113,10 @@ def base_match(panel: DataFrame, directory: DataFrame, anchor: str = "start") ->
     )
     rows = rows.withColumn("ipeds_match_status", status).withColumn("unitid", F.when(F.col("ipeds_match_status") == "exact_unique", F.col(f"{pick}_only")))
     rows = rows.withColumn("anchor_sensitivity", scope.anchor_sensitivity(F.col("s_n"), F.col("e_n"), F.col("s_only"), F.col("e_only"), F.col("s_loaded"), F.col("e_loaded")))
-    rows = rows.join(per_id, "opeid8", "left").join(per_unit, F.col("unitid") == F.col("lu"), "left").drop("lu")
-    rows = rows.withColumn("__root", ids.opeid_root(F.col("opeid8")))
-    for name, shift in (("s", 0), ("e", 1)):
-        side = root.select(F.col("ry").alias(f"{name}ry"), F.col("rr").alias(f"{name}rr"), F.col("root_units").alias(f"{name}_root_units"))
-        rows = rows.join(side, (F.col("y0") + shift == F.col(f"{name}ry")) & (F.col("__root") == F.col(f"{name}rr")), "left").drop(f"{name}ry", f"{name}rr")
-    rows = rows.join(own_root, (F.col("award_year") == F.col("pa")) & (F.col("__root") == F.col("pr")), "left").drop("pa", "pr")
+    rows = rows.join(per_id, "opeid8", "left")
+    matched = rows.where("unitid IS NOT NULL").join(per_unit, F.col("unitid") == F.col("lu"), "left").drop("lu")
+    rows = matched.unionByName(rows.where("unitid IS NULL").withColumn("lifetime_opeids", F.lit(None).cast("bigint")))  # no unit, no join
+    rows = rows.join(root, (F.col("award_year") == F.col("pa")) & (ids.opeid_root(F.col("opeid8")) == F.col("pr")), "left").drop("pa", "pr")
     counts = {c: F.coalesce(c, F.lit(0)) for c in ("lifetime_unitids", "lifetime_opeids", "s_root_units", "e_root_units", "root_rows")}
     rows = rows.withColumns(counts)
 
@@ -133,13 +152,24 @@ def base_match(panel: DataFrame, directory: DataFrame, anchor: str = "start") ->
 
 
 def candidate_ledger(panel: DataFrame, directory: DataFrame) -> DataFrame:
-    """All candidates of each row at both years: exact ids, and units of the id group only as evidence."""
+    """All candidates of each row at both years: exact ids, and units of the id group only as evidence.
+
+    An id group with many records in a year (above :func:`skew.hot_limit`) is split by hash of
+    the unit, and the rows that meet it are copied to its parts, so no group is gathered in
+    one task.
+    """
     rows = panel.select("opeid8", "award_year", ids.award_year_start(F.col("award_year")).alias("y0")).withColumn("__root", ids.opeid_root(F.col("opeid8")))
     spread = rows.withColumn("a", F.explode(F.array(F.struct(F.lit("start").alias("anchor"), F.col("y0").alias("y")), F.struct(F.lit("end").alias("anchor"), (F.col("y0") + 1).alias("y")))))
     d = directory.where("opeid8 IS NOT NULL").select(F.col("ipeds_year").alias("dy"), F.col("unitid").alias("candidate_unitid"), F.col("opeid8").alias("candidate_opeid8"), ids.opeid_root(F.col("opeid8")).alias("dr"))
-    found = spread.join(d, (F.col("a.y") == F.col("dy")) & (F.col("__root") == F.col("dr")))
+    sizes = d.groupBy("dy", "dr").agg(F.count(F.lit(1)).alias("n"))
+    limit = skew.hot_limit(int(sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0]["n"]))
+    hot = F.broadcast(sizes.where(F.col("n") > limit).select("dy", "dr", F.ceil(F.col("n") / limit).cast("int").alias("parts")))  # at most skew.MAX_HOT groups
+    d = d.join(hot, ["dy", "dr"], "left").withColumn("part", F.pmod(F.xxhash64("candidate_unitid"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    met = spread.select("opeid8", "award_year", "a.anchor", F.col("a.y").alias("dy"), F.col("__root").alias("dr")).where("dy IS NOT NULL AND dr IS NOT NULL")
+    met = met.join(hot, ["dy", "dr"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    found = met.join(d, ["dy", "dr", "part"])
     kind = F.when(F.col("opeid8") == F.col("candidate_opeid8"), "exact_opeid").otherwise("scope_group_only_no_assignment")
-    return found.select("opeid8", "award_year", "a.anchor", F.col("dy").alias("ipeds_year"), "candidate_unitid", "candidate_opeid8", kind.alias("candidate_kind"))
+    return found.select("opeid8", "award_year", "anchor", F.col("dy").alias("ipeds_year"), "candidate_unitid", "candidate_opeid8", kind.alias("candidate_kind"))
 
 
 def resolve(base: DataFrame, directory: DataFrame, records: DataFrame, relations: DataFrame, descriptors: DataFrame | None = None) -> DataFrame:
@@ -243,3 +273,21 @@ def reconcile(bridge: DataFrame, directory: DataFrame, relations: DataFrame) ->
 def represented(members: DataFrame, contradicted: DataFrame) -> DataFrame:
     """Memberships without those whose identity was disproved."""
     return members.join(contradicted, ["opeid8", "award_year", "unitid"], "left_anti")
+
+
+#: What is known of the group of a unit without a direct link.
+GROUPS = ("both_official_affiliation_and_diagnostic_root", "official_affiliation_only", "diagnostic_root_only", "no_group_evidence_in_reviewed_sources")
+
+
+def residual(universe: DataFrame, direct: DataFrame, official: DataFrame, root: DataFrame) -> DataFrame:
+    """(period, unitid, category): units of a universe without a direct link, in disjoint parts.
+
+    All tables have period and unitid, and may repeat rows; a null unit is no unit.  The four
+    sets meet in one aggregate per unit.  Group evidence is no assignment.
+    """
+    sets = {"u": universe, "d": direct, "o": official, "r": root}
+    long = reduce(DataFrame.unionByName, (df.where("unitid IS NOT NULL").select("period", "unitid", F.lit(k).alias("s")) for k, df in sets.items()))
+    has = {k: F.bool_or(F.col("s") == k).alias(k) for k in sets}
+    per = long.groupBy("period", "unitid").agg(*has.values()).where("u AND NOT d")
+    kind = F.when(F.col("o") & F.col("r"), GROUPS[0]).when(F.col("o"), GROUPS[1]).when(F.col("r"), GROUPS[2]).otherwise(GROUPS[3])
+    return per.select("period", "unitid", kind.alias("category"))

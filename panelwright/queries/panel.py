@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.functions import ids, labels, measures, scope, stats, text
+from panelwright.functions import ids, labels, measures, names, scope, stats, text
 from panelwright.operators import conserve, harmonise, keys, metadata, periods
-from panelwright.plans import benchmark, diagnostics, family_panel, masters
+from panelwright.plans import benchmark, diagnostics, family_panel, linkage, masters
 from panelwright.session import table
 
 QUERIES = {}
@@ -266,25 +266,35 @@ def cell_conservation(spark, d):
 # -- sets, counts, ranges ---------------------------------------------------------------
 @query(
     """WITH p AS (SELECT l_partkey, COUNT(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY l_partkey), s AS (SELECT l_suppkey, COUNT(DISTINCT l_partkey) AS n FROM lineitem GROUP BY l_suppkey)
- SELECT 'suppliers_per_part' AS relation, n AS n_distinct, COUNT(*) AS n_keys FROM p GROUP BY n UNION ALL SELECT 'parts_per_supplier', n, COUNT(*) FROM s GROUP BY n"""
+ SELECT 'l_suppkey_per_l_partkey' AS relation, n AS n_distinct, COUNT(*) AS n_keys FROM p GROUP BY n UNION ALL SELECT 'l_partkey_per_l_suppkey', n, COUNT(*) FROM s GROUP BY n"""
 )
 def lifetime_cardinality(spark, d):
     """A2: how many partners a key ever has, in both directions."""
-    li = table(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    a = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit("suppliers_per_part").alias("relation"), "n_distinct")
-    b = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit("parts_per_supplier").alias("relation"), "n_distinct")
-    return a.unionByName(b).groupBy("relation", "n_distinct").agg(F.count(F.lit(1)).alias("n_keys"))
+    return keys.partner_counts(table(spark, d, "lineitem"), "l_partkey", "l_suppkey")
 
 
 @query(
-    """WITH y AS (SELECT DISTINCT o_custkey AS u, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders), f AS (SELECT DISTINCT o_custkey AS u, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE o_orderstatus = 'F'), p AS (SELECT DISTINCT o_custkey AS u, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE o_orderstatus = 'P')
- SELECT y.y AS year, COUNT(*) AS universe, COUNT(f.u) AS in_first, COUNT(p.u) AS in_second, CAST(SUM((f.u IS NOT NULL AND p.u IS NOT NULL)::INT) AS BIGINT) AS in_both, CAST(SUM((f.u IS NULL AND p.u IS NULL)::INT) AS BIGINT) AS in_neither
- FROM y LEFT JOIN f ON f.u = y.u AND f.y = y.y LEFT JOIN p ON p.u = y.u AND p.y = y.y GROUP BY y.y"""
+    """WITH y AS (SELECT DISTINCT o_custkey AS u, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE o_orderpriority <> '5-LOW'), f AS (SELECT DISTINCT o_custkey AS u, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE o_orderstatus = 'F'), p AS (SELECT DISTINCT o_custkey AS u, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE o_orderstatus = 'P'),
+ a AS (SELECT coalesce(y.y, f.y, p.y) AS yr, y.u IS NOT NULL AS d, f.u IS NOT NULL AS c, p.u IS NOT NULL AS b FROM y FULL JOIN f ON f.u = y.u AND f.y = y.y FULL JOIN p ON p.u = coalesce(y.u, f.u) AND p.y = coalesce(y.y, f.y))
+ SELECT yr AS ipeds_year, COUNT(*) FILTER (d) AS directory_units, COUNT(*) FILTER (c) AS crosswalk_units, COUNT(*) FILTER (b) AS bridge_units, COUNT(*) FILTER (d AND c) AS directory_and_crosswalk, COUNT(*) FILTER (d AND b) AS directory_and_bridge, COUNT(*) FILTER (d AND NOT b AND NOT c) AS directory_only,
+ COUNT(*) FILTER (d AND c AND NOT b) AS unrepresented_with_crosswalk, COUNT(*) FILTER (b AND NOT d) AS bridge_not_in_directory FROM a GROUP BY yr"""
 )
 def universe_reconciliation(spark, d):
     """Annual overlaps of three sets of ids in one aggregate."""
-    per = _orders(spark, d).groupBy("year", "o_custkey").agg(F.bool_or(F.col("o_orderstatus") == "F").alias("f"), F.bool_or(F.col("o_orderstatus") == "P").alias("p"))
-    return per.groupBy("year").agg(F.count(F.lit(1)).alias("universe"), F.count_if("f").alias("in_first"), F.count_if("p").alias("in_second"), F.count_if(F.col("f") & F.col("p")).alias("in_both"), F.count_if(~F.col("f") & ~F.col("p")).alias("in_neither"))
+    o = _orders(spark, d).select("year", F.col("o_custkey").alias("unitid"), "o_orderstatus", "o_orderpriority")
+    whole = o.where("o_orderpriority <> '5-LOW'").select(F.col("year").alias("ipeds_year"), "unitid").distinct()
+    return linkage.reconcile(o.where("o_orderstatus = 'P'").withColumnRenamed("year", "ipeds_year"), whole, o.where("o_orderstatus = 'F'").withColumnRenamed("year", "cw_year"))
+
+
+@query(
+    """WITH u AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y, o_custkey AS u FROM orders), s AS (SELECT u.y, u.u, bool_or(o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AS direct, bool_or(o_orderstatus = 'P') AS official, bool_or(o_orderpriority = '2-HIGH') AS root FROM u JOIN orders o ON o.o_custkey = u.u AND year(o.o_orderdate) = u.y GROUP BY u.y, u.u)
+ SELECT y AS period, CASE WHEN official AND root THEN 'both_official_affiliation_and_diagnostic_root' WHEN official THEN 'official_affiliation_only' WHEN root THEN 'diagnostic_root_only' ELSE 'no_group_evidence_in_reviewed_sources' END AS category, COUNT(*) AS n_units FROM s WHERE NOT direct GROUP BY ALL"""
+)
+def residual_partition(spark, d):
+    """Units of a universe without a direct link, parted by the evidence there is of a group."""
+    o = _orders(spark, d).select(F.col("year").alias("period"), F.col("o_custkey").alias("unitid"), "o_orderstatus", "o_orderpriority")
+    parts = linkage.residual(o, o.where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"), o.where("o_orderstatus = 'P'"), o.where("o_orderpriority = '2-HIGH'"))
+    return parts.groupBy("period", "category").agg(F.count(F.lit(1)).alias("n_units"))
 
 
 @query(
@@ -299,12 +309,14 @@ def id_set_algebra(spark, d):
 
 
 @query(
-    """WITH m AS (SELECT o_custkey, o_orderkey FROM orders), x AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY') SELECT o_custkey, COUNT(*) AS n_orders FROM m WHERE o_custkey NOT IN (SELECT c_custkey FROM x) GROUP BY o_custkey"""
+    """WITH m AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, o_orderpriority AS p FROM orders), x AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, o_orderpriority AS p FROM orders WHERE o_orderstatus = 'P')
+ SELECT m.p AS opeid8, m.y AS award_year, COUNT(*) AS n_units FROM m LEFT JOIN x ON x.o_custkey = m.o_custkey AND x.y = m.y AND x.p = m.p WHERE x.p IS NULL GROUP BY ALL"""
 )
 def contradicted_anti_join(spark, d):
-    """Memberships without the contradicted keys."""
-    x = table(spark, d, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("o_custkey"))
-    return table(spark, d, "orders").join(x, "o_custkey", "left_anti").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+    """Memberships without the contradicted ones."""
+    m = _orders(spark, d).select(F.col("o_orderpriority").alias("opeid8"), F.col("year").alias("award_year"), F.col("o_custkey").alias("unitid"), "o_orderstatus")
+    left = linkage.represented(m.drop("o_orderstatus").distinct(), m.where("o_orderstatus = 'P'").drop("o_orderstatus").distinct())
+    return left.groupBy("opeid8", "award_year").agg(F.count(F.lit(1)).alias("n_units"))
 
 
 @query(
@@ -761,3 +773,31 @@ def definition_rules(spark, d):
     dic = p.select("year", "variable", F.when(F.col("k") % 3 != 0, "All undergraduates").otherwise("Average").alias("title"), F.lit("awarded").alias("description"), F.lit("T").alias("access_table_name"))
     brands = [r["variable"] for r in dic.select("variable").distinct().collect()]  # a few brands
     return metadata.definition_rules(dic, {b: "all undergraduate" for b in brands}, "first-time")
+
+
+def _portable_sql() -> str:
+    short = "h"
+    for long, to in names.SHORTER:
+        short = f"replace({short}, '{long}', '{to}')"
+    stem = f"regexp_replace(regexp_replace(regexp_replace({short}, '[^A-Za-z0-9_]', '_', 'g'), '_+', '_', 'g'), '^_|_$', '', 'g')"
+    kept = ", ".join(f"'{w}'" for w in names.RESERVED)
+    led = "CASE WHEN s = '' THEN 'variable' WHEN regexp_matches(s, '^[A-Za-z]') THEN s ELSE 'v_' || s END"
+    low = "CASE WHEN regexp_matches(l, '^[^0-9]') THEN l ELSE 'v_' || l END"
+    return f"""WITH n AS (SELECT DISTINCT source_column AS h FROM schema_availability WHERE source_column IS NOT NULL), t AS (SELECT h, {stem} AS s, lower(regexp_replace(h, '[^a-zA-Z0-9_]', '_', 'g')) AS l FROM n), u AS (SELECT *, COUNT(*) OVER (PARTITION BY l) AS c FROM t)
+ SELECT h AS name, CASE WHEN regexp_full_match(h, '[A-Za-z_][A-Za-z0-9_]{{0,31}}') AND h NOT IN ({kept}) THEN h ELSE substr({led}, 1, 21) || '_' || substr(sha256(h), 1, 10) END AS statistics_name,
+ CASE WHEN c = 1 AND length({low}) <= 32 THEN {low} ELSE substr({low}, 1, 21) || '_' || substr(sha256(h), 1, 10) END AS lower_name FROM u"""
+
+
+@query(_portable_sql())
+def portable_names(spark, d):
+    """Names for other programs of every header of an archive, in one plan."""
+    heads = table(spark, d, "schema_availability").where("source_column IS NOT NULL").select(F.col("source_column").alias("name")).distinct()
+    low = names.portable(heads, names.LOWER).withColumnRenamed("portable_name", "lower_name")
+    return names.portable(low, names.STATISTICS).select("name", F.col("portable_name").alias("statistics_name"), "lower_name")
+
+
+@query("WITH n AS (SELECT DISTINCT source_column AS h FROM schema_availability WHERE source_column IS NOT NULL), b AS (SELECT h, substr(regexp_replace(lower(split_part(h, '_', 1)), '[^a-zA-Z0-9_]', '_', 'g'), 1, 32) AS base FROM n), r AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY h) AS k FROM b) SELECT h AS name, CASE WHEN k = 1 THEN base ELSE substr(base, 1, 32 - length('_v' || CAST(k AS VARCHAR))) || '_v' || CAST(k AS VARCHAR) END AS alias FROM r")
+def numbered_aliases(spark, d):
+    """Short names, numbered where several columns ask for one."""
+    heads = table(spark, d, "schema_availability").where("source_column IS NOT NULL").select(F.col("source_column").alias("name")).distinct()
+    return names.numbered(heads.withColumn("wanted", F.split_part("name", F.lit("_"), F.lit(1))), "wanted", "name").select("name", "alias")

@@ -3,6 +3,8 @@
 import math
 from difflib import SequenceMatcher
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,20 +99,37 @@ def test_missing_reason_and_codes(spark):
     assert apply(spark, ["SFA0809_P1", "SFA9900", "SFA0810", "x"], labels.reference_start) == [2008, 1999, None, None]
 
 
-def test_names():
+def test_names(spark):
     long = "loan_direct__subsidized_undergraduate_recipients__observed_partial_sum"
-    made = names.portable(["unitid", long, "if"])
-    assert made["unitid"] == "unitid" and all(len(v) <= 32 for v in made.values()) and made["if"] != "if"
-    assert names.portable([long])[long] == made[long]
-    low = names.portable_lower(["Aid", "aid", "x"])
-    assert len(set(low.values())) == 3 and low["x"] == "x"
+    made = names.of(spark, ["unitid", long, "if", "1st place!", "***"], names.STATISTICS)
+    assert made["unitid"] == "unitid" and all(len(v) <= 32 for v in made.values())
+    tail = {n: hashlib.sha256(n.encode()).hexdigest()[:10] for n in made}
+    assert made[long] == f"dl_sub_ug_recips_part_{tail[long]}" and made["if"] == f"if_{tail['if']}"
+    assert made["1st place!"] == f"v_1st_place_{tail['1st place!']}" and made["***"] == f"variable_{tail['***']}"
+    assert names.of(spark, [long], names.STATISTICS)[long] == made[long]
+    low = names.of(spark, ["Aid", "aid", "x", "Total Paid", "9th", "y" * 40], names.LOWER)
+    assert low["x"] == "x" and low["Total Paid"] == "total_paid" and low["9th"] == "v_9th" and len(set(low.values())) == 6
+    assert low["Aid"].startswith("aid_") and low["aid"].startswith("aid_") and len(low["y" * 40]) == 32
     with pytest.raises(ValueError):
-        names.portable(["a", "a"])
-    assert list(names.aliases(["p", "q"], {"p": "n", "q": "n"}).values()) == ["n", "n_v2"]
+        names.of(spark, ["a", "a"], names.LOWER)
+    clash = names.portable(spark.createDataFrame([("a",), ("a",), ("b",)], "name string").distinct(), names.LOWER)
+    assert names.clashes(clash).count() == 0
+    assert list(names.aliases(spark, ["p", "q"], {"p": "n", "q": "n"}).values()) == ["n", "n_v2"]
+    assert list(names.aliases(spark, ["p", "q", "r"], {"p": "n", "q": "n_v2", "r": "n"}).values()) == ["n", "n_v2", "n_v3"]
     assert names.status_code("observed", {"observed": 1}) == 1 and names.status_code("new", {}) >= 10_000
     assert names.case_clashes(["UNITID", "unitid", "x"]) == [("UNITID", "unitid")]
 
 
+def test_stored_ids_are_checked(spark):
+    df = spark.createDataFrame([("00123400",), ("-2",), (None,), ("123456A1",)], "opeid string")
+    got = {r.opeid: (r.opeid__numeric8, r.opeid__format) for r in ids.opeid_views(df, "opeid").collect()}
+    assert got["00123400"] == ("00123400", "numeric8_format_only_not_verified_match") and got[None] == (None, "source_missing")
+    with pytest.raises(TypeError):
+        ids.opeid_views(df.withColumn("opeid", F.lit(1)), "opeid")
+    with pytest.raises(ValueError):
+        ids.opeid_views(spark.createDataFrame([(" 00123400",)], "opeid string"), "opeid")
+
+
 def test_text(spark):
     pairs = [("abc university", "abd university"), ("", "x"), (None, "x"), ("same", "same")]
     df = spark.createDataFrame(pairs, "a string, b string")

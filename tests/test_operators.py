@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from panelwright.functions import scope
 from panelwright.operators import conserve, harmonise, keys, metadata, periods, skew
 from panelwright.plans import analysis, benchmark, diagnostics, family_panel, linkage, masters
 from tests.conftest import rows
@@ -287,3 +288,58 @@ def test_prefix_sum_over_buckets(spark):
     got = skew.prefix_sum(df, ["g"], "id", "w", "before", spread=20)
     for g in (0, 1):
         assert sorted(r.before for r in got.where(F.col("g") == g).collect()) == list(range(0, 500, 2))
+
+
+def test_scope_flags_need_all_four_columns(spark):
+    d = _directory(spark, [(2005, 1, "00100200", "NY", "1", "1")])
+    told = lambda df: df.select(scope.record_flags(df.columns, F.col("ipeds_year"))["flags_available"]).collect()[0][0]
+    assert told(d) is True
+    for c in ("prch_f", "idx_f", "prch_sfa", "idx_sfa", "ipeds_flags_available"):
+        assert told(d.drop(c)) is False
+    assert told(d.withColumn("prch_f", F.lit("9"))) is False and told(d.withColumn("idx_f", F.lit(None).cast("string"))) is False
+
+
+def test_candidate_ledger_splits_hot_groups(spark, monkeypatch):
+    d = _directory(spark, [(2005, u, "00100200" if u % 2 else "00100201", "NY", "1", "1") for u in range(1, 60)])
+    p = spark.createDataFrame([("00100200", "2005-2006"), ("00100201", "2004-2005"), (None, "2005-2006")], "opeid8 string, award_year string")
+    whole = rows(linkage.candidate_ledger(p, d))
+    monkeypatch.setattr(skew, "HOT_ROWS", 7)
+    assert rows(linkage.candidate_ledger(p, d)) == whole and len(whole) == 2 * 59
+
+
+def test_residual_parts_are_disjoint(spark):
+    def t(*pairs):
+        return spark.createDataFrame(list(pairs), "period int, unitid long")
+
+    got = linkage.residual(t((1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (1, 5), (1, None)), t((1, 1)), t((1, 2), (1, 3), (2, 9)), t((1, 3), (1, 4), (1, 1)))
+    assert dict((r.unitid, r.category) for r in got.collect()) == dict(zip((3, 2, 4, 5), linkage.GROUPS))
+    assert linkage.residual(t((1, 1)).where("false"), t((1, 1)), t((1, 1)), t((1, 1))).count() == 0
+
+
+def test_undocumented_codes_raise(spark):
+    r = spark.createDataFrame([("1", "-2"), (None, None)], "cw_source_code string, cw_ipeds_reporting_code string")
+    assert linkage.require_codes(r).count() == 2
+    with pytest.raises(ValueError):
+        linkage.require_codes(r.unionByName(spark.createDataFrame([("7", "1")], r.schema)))
+
+
+def test_combined_families_are_blocked(spark):
+    I, M, A = family_panel.INCLUDED, family_panel.MULTIPLE, family_panel.ABSENT
+    p = spark.createDataFrame([(1, 2005, I, 1.0, I, 2.0), (2, 2005, I, 1.0, M, None), (3, 2012, I, 1.0, M, None), (4, 2005, I, 1.0, A, None), (5, 2005, A, None, A, None)], "unitid int, award_year_start int, d__unitid_record_status string, d__m double, f__unitid_record_status string, f__m double")
+    out = family_panel.combined(p, "loan", "m", ["d", "f"], {"f": F.col("award_year_start") <= 2009})
+    assert rows(out, "unitid", "loan__m", "loan__m__status") == [
+        (1, 3.0, "complete_component_sum"), (2, None, family_panel.BLOCKED), (3, 1.0, "complete_direct_only_scope"), (4, None, "incomplete_component_sum"), (5, None, "no_observed_components"),
+    ]
+
+
+def test_joins_prove_that_cells_stay(spark):
+    a = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
+    b = spark.createDataFrame([(1, 5)], "k int, w int")
+    assert keys.counted_once(a, b, ["k"], ["v"]).count() == 2
+    with pytest.raises(keys.KeyViolation):
+        keys.counted_once(a, b.unionByName(b), ["k"], ["v"])
+
+
+def test_audit_without_lineage(spark):
+    d = spark.createDataFrame([(2005, "V", "1", "f", "t")], "year int, variable string, variable_id string, source_file string, access_table_name string")
+    assert metadata.source_audit(d, None).collect()[0].source_metadata_status == "lineage_unavailable"
