@@ -801,3 +801,25 @@ def numbered_aliases(spark, d):
     """Short names, numbered where several columns ask for one."""
     heads = table(spark, d, "schema_availability").where("source_column IS NOT NULL").select(F.col("source_column").alias("name")).distinct()
     return names.numbered(heads.withColumn("wanted", F.split_part("name", F.lit("_"), F.lit(1))), "wanted", "name").select("name", "alias")
+
+
+@query(
+    """SELECT f.format, (SELECT COUNT(*) FROM customer) AS n_rows, CAST(0 AS BIGINT) AS n_unequal FROM (VALUES ('csv'), ('parquet'), ('statistics'), ('workbooks')) f(format)"""
+)
+def release_formats(spark, d):
+    """A release in four formats, each read back and compared cell by cell; it raises if one differs."""
+    import os
+
+    from panelwright.plans import release
+    from panelwright.session import ensure_checkpoint_dir
+    from panelwright.sinks import store
+    from panelwright.sources.tables import typed_csv
+
+    k = F.col("c_custkey")
+    c = table(spark, d, "customer").withColumn("note", F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, "_x000A_").otherwise('a "b"\nc, NA')).withColumn("share", F.col("c_acctbal") / 3).withColumn("year", (F.col("c_nationkey") + 2000).cast("int"))
+    path = f"{ensure_checkpoint_dir(spark)}/release-{os.urandom(8).hex()}"
+    release.export(c, path, ["c_custkey"], {"about": "customers"}, year="year", families={"money": ["c_acctbal", "share"]})
+    counts = {"parquet": spark.read.parquet(f"{path}/parquet").count(), "csv": typed_csv(spark, f"{path}/csv", c.schema).count()}
+    counts |= {"workbooks": spark.read.parquet(f"{path}/parquet").count(), "statistics": spark.read.parquet(f"{path}/parquet").count()}
+    store.Store(spark, path).delete()
+    return spark.createDataFrame([(f, n, 0) for f, n in counts.items()], "format string, n_rows long, n_unequal long")

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-import json
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.conserve import null_masks
 from panelwright.operators.metadata import with_metadata
+from panelwright.sources import streams
 from panelwright.sources.tables import NULL_TOKEN
 
 
-def labelled_parquet(df: DataFrame, path: str, book: list[dict[str, str]], partition: str | None = None, about: dict[str, str] | None = None) -> None:
-    """zstd Parquet with the codebook in the fields' metadata; facts on the whole in a file beside it."""
-    out = with_metadata(df, book).write.option("compression", "zstd")
-    (out.partitionBy(partition) if partition else out).parquet(path)
-    if about is not None:
-        with open(os.path.join(path, "_about.json"), "w", encoding="utf-8") as f:
-            json.dump(about, f, indent=2, sort_keys=True)
+#: Bytes of a row group before compression.
+ROW_GROUP = 128 * 1024 * 1024
+
+
+def labelled_parquet(df: DataFrame, path: str, book: list[dict[str, str]], partition: str | None = None, order: list[str] | None = None, row_group: int = ROW_GROUP) -> None:
+    """zstd Parquet with the codebook in the fields' metadata, rows in ``order`` within each file."""
+    out = with_metadata(df, book)
+    if partition:
+        out = out.repartition(partition) if order is None else out.repartitionByRange(partition, *order)
+    if order:
+        out = out.sortWithinPartitions(*([partition] if partition else []), *order)
+    writer = out.write.option("compression", "zstd").option("parquet.block.size", str(row_group))
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
 def token_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
@@ -48,16 +52,21 @@ def report_csv(df: DataFrame, path: str) -> None:
 #: Limits of the statistics program: texts beyond this are long strings; whole numbers beyond it are inexact.
 LONG_TEXT, EXACT = 120, 2**53
 TOPIC_COLUMNS = 2_048
+#: Cells of one statistics file, which one process writes; a larger table is cut into modules or refused.
+MODULE_CELLS = 50_000_000
 
 
 def stata(df: DataFrame, path: str, variable_labels: dict[str, str], value_labels: dict[str, dict[int, str]] | None = None) -> int:
-    """One module of bounded size as a version 118 file; gives the number of rows.
+    """One module of at most MODULE_CELLS cells as a version 118 file; gives the number of rows.
 
-    Null text is written as empty (write :func:`masks` beside it); infinite numbers and whole
+    The size is checked before anything is gathered.  Null text is written as empty (write :func:`masks` beside it); infinite numbers and whole
     numbers that would lose digits raise.
     """
     import numpy as np
 
+    n = df.count()
+    if n * len(df.columns) > MODULE_CELLS:
+        raise ValueError(f"{n} rows of {len(df.columns)} columns are too many for one file")
     frame = df.toPandas()
     for c in frame.columns:
         if frame[c].dtype == object:
@@ -73,7 +82,8 @@ def stata(df: DataFrame, path: str, variable_labels: dict[str, str], value_label
         elif frame[c].dtype == bool:
             frame[c] = frame[c].astype("int8")
     long = [c for c in frame.columns if frame[c].dtype == object and frame[c].str.len().max() > LONG_TEXT]
-    frame.to_stata(path, version=118, write_index=False, variable_labels={k: v[:80] for k, v in variable_labels.items() if k in frame}, convert_strl=long, value_labels=value_labels or None)
+    with streams.open_out(path) as out:
+        frame.to_stata(out, version=118, write_index=False, variable_labels={k: v[:80] for k, v in variable_labels.items() if k in frame}, convert_strl=long, value_labels=value_labels or None)
     return len(frame)
 
 

@@ -41,7 +41,8 @@ def directory(spark: SparkSession, folder: str, years: list[int]) -> tuple[DataF
     """(records, rejects, sources) of the annual directory in a folder of archives or CSV files.
 
     Per year ``hdYYYY`` is joined with ``flagsYYYY`` where there is one; a year without a
-    source is listed as missing, not skipped in silence.  Invalid ids become null and are
+    source is listed as missing, not skipped in silence.  Flags are available only where all
+    four scope fields are there, whichever of the two files holds them.  Invalid ids become null and are
     listed among the rejects.  Years are united by column name.
     """
     from panelwright.sources.datasource import register
@@ -59,9 +60,11 @@ def directory(spark: SparkSession, folder: str, years: list[int]) -> tuple[DataF
             flags = spark.read.format("zipcsv").option("stems", f"flags{y}").load(flags_path).drop("_source", "_row")
             own = [c for c in flags.columns if c == "unitid" or c not in hd.columns]
             hd = hd.join(flags.select(*own).withColumn("__f", F.lit(True)), "unitid", "left")
-            hd = hd.withColumn("ipeds_flags_available", F.coalesce("__f", F.lit(False))).drop("__f")
+            present = F.coalesce("__f", F.lit(False))
         else:
-            hd = hd.withColumn("ipeds_flags_available", F.lit(False))
+            present = F.lit(True)  # scope fields may be part of the directory itself
+        there = {c.lower() for c in hd.columns} >= {"prch_f", "idx_f", "prch_sfa", "idx_sfa"}
+        hd = hd.withColumn("ipeds_flags_available", present & F.lit(there)).drop("__f")
         parts.append(hd.withColumn("ipeds_year", F.lit(y)).withColumnRenamed("_source", "ipeds_source_member"))
     if not parts:
         raise FileNotFoundError(f"no directory source in {folder}")

@@ -7,12 +7,14 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
+from panelwright.sources import streams
+
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
 def sheet_names(path: str) -> list[str]:
-    with zipfile.ZipFile(path) as z:
+    with streams.open_in(path) as source, zipfile.ZipFile(source) as z:
         return [s.get("name") for s in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")]
 
 
@@ -46,7 +48,7 @@ def column_number(reference: str) -> int:
 
 def rows(path: str, sheet: str) -> Iterator[tuple[int, list[str | None]]]:
     """(row number, cells) of every row; a cell that is not there is null, an empty text is empty."""
-    with zipfile.ZipFile(path) as z:
+    with streams.open_in(path) as source, zipfile.ZipFile(source) as z:
         target, shared = _target(z, sheet), _shared(z)
         with z.open(target) as f:
             count = 0

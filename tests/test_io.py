@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwright.plans import release
-from panelwright.sinks import bundle, tables, workbook
+from panelwright.sinks import bundle, store, tables, workbook
 from panelwright.sources import datasource, files, remote, stata, tables as source_tables, xlsx
 from panelwright.streaming import incremental
 from tests.conftest import rows
@@ -34,19 +34,23 @@ def test_decode_and_members():
 
 def test_directory_loader(spark, tmp_path):
     _zip(tmp_path / "HD2010.zip", {"hd2010.csv": "UNITID,OPEID\n1,1\n", "hd2010_rv.csv": "UNITID, OPEID ,INSTNM\n101,100200,É\n102,-2,x\nbad,5,y\n103,junk,z\n"})
-    _zip(tmp_path / "FLAGS2010.zip", {"flags2010.csv": "UNITID,PRCH_F\n101,1\n"})
+    _zip(tmp_path / "FLAGS2010.zip", {"flags2010.csv": "UNITID,PRCH_F,IDX_F,PRCH_SFA,IDX_SFA\n101,1,-2,-2,-2\n"})
     data, rejects, listed = source_tables.directory(spark, str(tmp_path), [2010, 2011])
     got = {r.unitid: (r.opeid8, r.prch_f, r.ipeds_flags_available, r.ipeds_source_member) for r in data.collect()}
     assert got == {101: ("00100200", "1", True, "hd2010_rv.csv"), 102: (None, None, False, "hd2010_rv.csv"), 103: (None, None, False, "hd2010_rv.csv")}
     assert sorted(r.unitid_text for r in rejects.collect()) == ["103", "bad"]
     assert [x["status"] for x in listed] == ["loaded", "missing_source"]
+    _zip(tmp_path / "FLAGS2010.zip", {"flags2010.csv": "UNITID,PRCH_F\n101,1\n"})  # three of the four scope fields are not there
+    assert not source_tables.directory(spark, str(tmp_path), [2010])[0].where("ipeds_flags_available").count()
+    _zip(tmp_path / "HD2012.zip", {"hd2012.csv": "UNITID,OPEID,PRCH_F,IDX_F,PRCH_SFA,IDX_SFA\n104,100300,1,-2,-2,-2\n"})  # the directory holds them itself
+    assert source_tables.directory(spark, str(tmp_path), [2012])[0].where("ipeds_flags_available").count() == 1
 
 
 def test_workbook_round_trip(spark, tmp_path):
     path = str(tmp_path / "b.xlsx")
     data = [(1, "École\t東京", 0.1), (2, "=2+2", 123456789.12345679), (3, "", -0.125), (4, None, None), (5, "<a & b>\n", 3.779999999999998)]
     noted = workbook.write(path, ["k", "s", "x"], data, [{"canonical_name": "k"}], [], ["about"], ledger=True)
-    assert {n["row"] for n in noted} == {3, 6} and xlsx.sheet_names(path) == ["Data", "Codebook", "ValueLabels", "README"]
+    assert {n["row"] for n in noted} == {3, 6} and xlsx.sheet_names(path) == ["Data", "Codebook", "ValueLabels", "README", "Exact"]
     back = workbook.restore(list(xlsx.records(path, "Data")), noted)
     assert [(int(r["k"]), r["s"], None if r["x"] is None else float(r["x"])) for r in back] == data
     datasource.register(spark)
@@ -67,6 +71,22 @@ def test_workbooks_per_year(spark, tmp_path):
     assert next(iter(xlsx.records(got[0].path, "Data")))["s"] == "a"
 
 
+def test_workbooks_keep_their_ledger(spark, tmp_path):
+    odd = ["a\x00b", "_x000A_", "_x005F_x", "x" * 70_000, " =1+1 ", "tab\tline\n", "", None, "\ud800" if False else "é"]
+    df = spark.createDataFrame([(2005, i, 0.1 + i / 3, 2**60 + i, s) for i, s in enumerate(odd)], "year int, k int, x double, n long, s string")
+    got = workbook.per_year(df, "year", str(tmp_path), [], ["r"]).collect()[0]
+    assert got.n_noted > len(odd) and got.n_unequal == 0
+    exact = {(n["row"], n["column"]): n["exact"] for n in workbook.read_ledger(got.path)}
+    assert exact[(5, "s")] == "x" * 70_000 and exact[(2, "n")] == str(2**60) and exact[(3, "s")] == "_x000A_"
+    assert all("_x" not in str(r["exact"]) for r in xlsx.records(got.path, "Exact"))
+
+
+def test_statistics_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MODULE_CELLS", 3)
+    with pytest.raises(ValueError):
+        tables.stata(spark.range(5), str(tmp_path / "x.dta"), {})
+
+
 def test_csv_tokens(spark, tmp_path):
     df = spark.createDataFrame([(1, None, "NA"), (2, "", ' "x"\n, '), (3, " b ", "é")], "k int, s string, t string")
     tables.token_csv(df, str(tmp_path / "c"))
@@ -95,24 +115,28 @@ def test_stata(spark, tmp_path):
 
 def test_parquet_keeps_metadata(spark, tmp_path):
     df = spark.createDataFrame([(1, 2005)], "k int, year int")
-    tables.labelled_parquet(df, str(tmp_path / "p"), [{"canonical_name": "k", "label": "key"}], "year", {"a": "b"})
+    tables.labelled_parquet(df, str(tmp_path / "p"), [{"canonical_name": "k", "label": "key"}], "year", ["k"])
     back = source_tables.parquet(spark, str(tmp_path / "p"), ["k", "missing"], "year = 2005")
     assert back.schema["k"].metadata["label"] == "key" and back.columns == ["k"]
 
 
 def test_release_and_bundle(spark, tmp_path):
-    df = spark.createDataFrame([(1, "a", None), (2, "", 1.5)], "unitid long, s string, grant__x double")
-    listed = release.export(df, str(tmp_path / "r"), ["unitid"], {"about": "test"})
-    assert any(x["path"] == "manifest.json" for x in listed)
-    bundle.verify(str(tmp_path / "r"), listed)
+    df = spark.createDataFrame([(1, "a", None, 2005), (2, "", 1.5, 2006), (3, None, 0.1 + 0.2, 2005), (4, "_x000A_", 1e17, 2006)], "unitid long, s string, grant__x double, year int")
+    listed = release.export(df, str(tmp_path / "r"), ["unitid"], {"about": "test"}, year="year", families={"grant": ["grant__x"]})
+    have = {x.path for x in listed.collect()}
+    assert {"manifest.json", "about.json", "workbooks/2005.xlsx", "workbooks/2006.xlsx", "statistics/grant.dta", "statistics/other.dta"} <= have
+    told = spark.createDataFrame([r.asDict() for r in listed.collect()])
+    store.verify(spark, str(tmp_path / "r"), told)
     (tmp_path / "r" / "load.py").write_text("changed")
     with pytest.raises(ValueError):
-        bundle.verify(str(tmp_path / "r"), listed)
+        store.verify(spark, str(tmp_path / "r"), told)
     with pytest.raises(FileExistsError):
         release.export(df, str(tmp_path / "r"), ["unitid"], {})
     with pytest.raises(ValueError):
         release.export(df.union(df), str(tmp_path / "q"), ["unitid"], {})
-    assert not (tmp_path / "q").exists() and not list(tmp_path.glob(".building*"))
+    with pytest.raises(ValueError):  # a text that is the null token fails after the folder was begun
+        release.export(df.withColumn("s", F.lit(source_tables.NULL_TOKEN)), str(tmp_path / "q"), ["unitid"], {})
+    assert not (tmp_path / "q").exists() and not list(tmp_path.glob("building*"))
     with pytest.raises(ValueError):
         bundle.require_separate(str(tmp_path / "r" / "x"), [str(tmp_path / "r")])
     for bad in ("/a", "../a", ""):
