@@ -29,17 +29,10 @@ def utf16_units(c: Column) -> Column:
 
 def byte_excerpt(c: Column, budget: int) -> Column:
     """The longest start of a text within a budget of UTF-8 bytes, on a character boundary."""
-    short = F.octet_length(c) <= budget
-    points = F.split(c, "")
-    cut = F.aggregate(
-        points,
-        F.struct(F.lit("").alias("t"), F.lit(False).alias("full")),
-        lambda acc, p: F.struct(
-            F.when(~acc["full"] & (F.octet_length(acc["t"]) + F.octet_length(p) <= budget), F.concat(acc["t"], p)).otherwise(acc["t"]).alias("t"),
-            (acc["full"] | (F.octet_length(acc["t"]) + F.octet_length(p) > budget)).alias("full"),
-        ),
-    )["t"]
-    return F.when(short, c).otherwise(cut)
+    raw = F.encode(c, "UTF-8")
+    # a character has four bytes at most, so one of four starts ends on a boundary
+    starts = [F.try_validate_utf8(F.substring(raw, 1, max(0, budget - k)).cast("string")) for k in range(4)]
+    return F.when(F.octet_length(c) <= budget, c).otherwise(F.coalesce(*starts))
 
 
 @F.pandas_udf(T.BooleanType())

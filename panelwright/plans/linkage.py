@@ -270,6 +270,44 @@ def reconcile(bridge: DataFrame, directory: DataFrame, relations: DataFrame) ->
     )
 
 
+def crosswalk_sensitivity(panel: DataFrame, records: DataFrame, relations: DataFrame) -> DataFrame:
+    """Whether the official sites of a row's start year and of the year after agree.
+
+    Site sets are told by their counts and only unit, so an id with many sites is one row.  A
+    conflict is an incomplete record or several sites at either year, or one site that differs.
+    """
+    own = relations.where(F.col("relation_type").isin("primary_match", "additional_match") & F.col("unitid").isNotNull()).select("cw_year", "opeid8", "unitid").distinct()
+    sites = own.groupBy("cw_year", "opeid8").agg(F.count(F.lit(1)).alias("n"), F.min("unitid").alias("u"))
+    whole = F.coalesce(F.lower(F.col("cw_site_parse_complete").cast("string")).isin("true", "1"), F.lit(False))
+    told = records.groupBy("cw_year", "opeid8").agg(F.every(whole).alias("complete")).join(sites, ["cw_year", "opeid8"], "left")
+    rows = panel.select("opeid8", "award_year", ids.award_year_start(F.col("award_year")).alias("y0"))
+    for name, shift in (("s", 0), ("e", 1)):
+        side = told.select((F.col("cw_year") - shift).alias("y0"), "opeid8", F.struct("complete", F.coalesce("n", F.lit(0)).alias("n"), "u").alias(name))
+        rows = rows.join(side, ["y0", "opeid8"], "left")
+    n = {k: F.coalesce(F.col(f"{k}.n"), F.lit(0)) for k in "se"}
+    broken = reduce(lambda a, b: a | b, [(n[k] > 1) | F.coalesce(~F.col(f"{k}.complete"), F.lit(False)) for k in "se"])
+    both = (n["s"] == 1) & (n["e"] == 1)
+    status = (
+        F.when(broken | (both & (F.col("s.u") != F.col("e.u"))), "scope_or_identity_conflict")
+        .when(F.col("s").isNull() | F.col("e").isNull(), "year_unavailable")
+        .when(both, "stable_unique")
+        .otherwise("ambiguous_or_unmatched")
+    )
+    return rows.select("opeid8", "award_year", n["s"].alias("start_site_count"), n["e"].alias("end_site_count"), status.alias("crosswalk_anchor_sensitivity"))
+
+
+def memberships(resolved: DataFrame, directory: DataFrame, relations: DataFrame) -> DataFrame:
+    """(opeid8, award_year, unitid, relation_type): every unit that evidence ties to a row of :func:`resolve`, assigned or not.
+
+    Official relations of the row's year, and directory units that carry its id.  A membership
+    is possible coverage, never an assignment; see :func:`represented` for those disproved.
+    """
+    base = resolved.select("opeid8", "award_year", "ipeds_year")
+    said = relations.where("unitid IS NOT NULL").select(F.col("cw_year").alias("ipeds_year"), "opeid8", "unitid", "relation_type")
+    own = directory.where("opeid8 IS NOT NULL").select("ipeds_year", "opeid8", "unitid", F.lit("directory_opeid").alias("relation_type"))
+    return base.join(said.unionByName(own).distinct(), ["ipeds_year", "opeid8"]).select("opeid8", "award_year", "unitid", "relation_type")
+
+
 def represented(members: DataFrame, contradicted: DataFrame) -> DataFrame:
     """Memberships without those whose identity was disproved."""
     return members.join(contradicted, ["opeid8", "award_year", "unitid"], "left_anti")

@@ -174,6 +174,27 @@ def annual_reconciliation(spark, d):
     return linkage.reconcile(r, directory, rel)
 
 
+@query(
+    f"""WITH {_BASE}, {_SITES}, c AS (SELECT r.op, r.y0, s.n AS ns, e.n AS ne, s.a AS us, e.a AS ue, s.a % 41 = 0 AS bs, e.a % 41 = 0 AS be FROM rep r LEFT JOIN site s ON s.op = r.op AND s.y0 = r.y0 LEFT JOIN site e ON e.op = r.op AND e.y0 = r.y0 + 1)
+ SELECT op AS opeid8, CAST(y0 AS VARCHAR) || '-' || CAST(y0 + 1 AS VARCHAR) AS award_year, coalesce(ns, 0) AS start_site_count, coalesce(ne, 0) AS end_site_count, CASE WHEN coalesce(ns > 1 OR bs, FALSE) OR coalesce(ne > 1 OR be, FALSE) OR coalesce(ns = 1 AND ne = 1 AND us <> ue, FALSE) THEN 'scope_or_identity_conflict' WHEN ns IS NULL OR ne IS NULL THEN 'year_unavailable' ELSE 'stable_unique' END AS crosswalk_anchor_sensitivity FROM c"""
+)
+def crosswalk_anchor(spark, d):
+    """Whether the official sites of two years agree."""
+    rel, rec = linkage.crosswalk(_crosswalk(spark, d))
+    return linkage.crosswalk_sensitivity(_reported(spark, d), rec, rel)
+
+
+@query(
+    f"""WITH {_BASE}, {_SITES}, m AS (SELECT r.op, r.y0, u.unitid, CASE WHEN u.unitid = s.a THEN 'primary_match' ELSE 'additional_match' END AS t FROM rep r JOIN unit_ u ON u.op = r.op AND u.y0 = r.y0 JOIN site s ON s.op = r.op AND s.y0 = r.y0 UNION ALL SELECT r.op, r.y0, d.unitid, 'directory_opeid' FROM rep r JOIN dir d ON d.op = r.op AND d.y = r.y0)
+ SELECT CAST(y0 AS INTEGER) AS award_year_start, t AS relation_type, COUNT(*) AS n_memberships, COUNT(DISTINCT unitid) AS n_units FROM m GROUP BY y0, t"""
+)
+def linkage_memberships(spark, d):
+    """Memberships of units in reporting rows, counted per year and kind of evidence."""
+    r, directory, rel = _resolved(spark, d)
+    m = linkage.memberships(r, directory, rel)
+    return m.groupBy(ids.award_year_start(F.col("award_year")).alias("award_year_start"), "relation_type").agg(F.count(F.lit(1)).alias("n_memberships"), F.countDistinct("unitid").alias("n_units"))
+
+
 def _family_rows(spark, d):
     f = _family(spark, d).where("award_year_start IS NOT NULL")
     return family_panel.dispositions(f, F.coalesce(clean.truth(F.col("ipeds_annual_identity_eligible")), F.lit(False)))
@@ -233,7 +254,7 @@ def family_status_counts(spark, d):
 
 
 @query(
-    """WITH fam AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY loaded_at DESC) AS rn FROM family_records) WHERE rn = 1), t AS (SELECT disbursements__status AS told, disbursements AS v, trim(disbursements__raw_token, ' 	
+    """WITH fam AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY loaded_at DESC) AS rn FROM family_records) WHERE rn = 1), t AS (SELECT disbursements__status AS told, disbursements AS v, trim(disbursements__raw_token, ' 	
 ') AS s FROM fam),
  n AS (SELECT *, CASE WHEN regexp_full_match(s, '-?\\$?-?(\\d{1,3}(,\\d{3})+|\\d+)(\\.\\d*)?') THEN TRY_CAST(replace(replace(s, '$', ''), ',', '') AS DOUBLE) END AS n FROM t),
  p AS (SELECT *, CASE WHEN s IS NULL OR s = '' THEN 'source_blank' WHEN regexp_full_match(lower(s), '<\\s*10') THEN 'suppressed_lt10' WHEN lower(s) IN ('suppressed', 'redacted', 'privacy suppressed') THEN 'suppressed' WHEN lower(s) IN ('-', '--', '.', 'na', 'n/a', '*') THEN 'source_symbol' WHEN n IS NULL THEN 'invalid_numeric' WHEN n = 0 THEN 'observed_zero' ELSE 'observed' END AS st FROM n)

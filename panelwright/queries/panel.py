@@ -149,15 +149,15 @@ def offset_join_prior(spark, d):
 
 
 def _benchmark_pairs(spark, d):
-    left = _left(spark, d).select("unitid", "year", F.when(F.col("unitid") % 13 == 0, F.lit(None)).otherwise(F.col("n_orders")).alias("a"), F.concat(F.lit("p"), (F.col("unitid") % 3).cast("string")).alias("population"))
+    left = _left(spark, d).select("unitid", "year", F.when(F.col("unitid") % 13 == 0, F.lit(None)).otherwise(F.col("n_orders")).alias("a"), F.concat(F.lit("p"), (F.col("unitid") % 3).cast("string")).alias("population"), ((F.col("unitid") + F.col("year")) % 19 != 0).alias("defined"), (F.col("unitid") % 4 != 0).alias("screened"))
     right = _right(spark, d).select("unitid", "award_year_start", F.col("grant__n").alias("b"), F.when(F.col("unitid") % 5 == 0, "suppressed_lt10").otherwise("observed").alias("b__status"), F.when(F.col("unitid") % 17 == 0, "ambiguous_family_multiple_records").otherwise("included_unique_family_record").alias("record_status"))
-    return benchmark.pairs(left, right, "a", "b")
+    return benchmark.pairs(left, right, "a", "b", defined="defined", screened="screened")
 
 
 _PAIRS = f"""{_LEFT}, {_RIGHT}, prs AS (SELECT l.unitid, l.year, o.offset_, 'p' || CAST(l.unitid % 3 AS VARCHAR) AS population, CASE WHEN l.unitid % 13 <> 0 THEN CAST(l.n_orders AS DOUBLE) END AS a, CAST(r.grant__n AS DOUBLE) AS b,
- CASE WHEN r.unitid IS NULL THEN 'no_fsa_unitid_row' WHEN l.unitid % 17 = 0 THEN 'fsa_grant_family_not_included' WHEN l.unitid % 5 = 0 THEN 'fsa_value_not_observed' WHEN l.unitid % 13 = 0 THEN 'missing_negative_nonfinite_or_invalid_numeric' ELSE 'comparable_numeric_pair_population_limits_apply' END AS status
+ CASE WHEN (l.unitid + l.year) % 19 = 0 THEN 'all_undergraduate_measure_unavailable_in_dictionary_or_panel' WHEN r.unitid IS NULL THEN 'no_fsa_unitid_row' WHEN l.unitid % 17 = 0 THEN 'fsa_grant_family_not_included' WHEN l.unitid % 5 = 0 THEN 'fsa_value_not_observed' WHEN l.unitid % 13 = 0 THEN 'missing_negative_nonfinite_or_invalid_numeric' ELSE 'comparable_numeric_pair_population_limits_apply' END AS status
  FROM lft l CROSS JOIN (VALUES (-2),(-1),(0),(1)) o(offset_) LEFT JOIN rgt r ON r.unitid = l.unitid AND r.award_year_start = l.year + o.offset_),
- pv AS (SELECT *, starts_with(status, 'comparable') AS valid, bool_and(starts_with(status, 'comparable')) OVER (PARTITION BY unitid, year) AS common FROM prs)"""
+ pv AS (SELECT *, starts_with(status, 'comparable') AS valid, bool_and(starts_with(status, 'comparable')) OVER (PARTITION BY unitid, year) AS common, starts_with(status, 'comparable') AND unitid % 4 <> 0 AS clear_, bool_and(starts_with(status, 'comparable') AND unitid % 4 <> 0) OVER (PARTITION BY unitid, year) AS clear_common FROM prs)"""
 
 
 @query(f"WITH {_PAIRS} SELECT unitid, year, CAST(offset_ AS INTEGER) AS \"offset\", status AS comparison_status, valid AS valid_pair, common AS common_all_offsets, CASE WHEN valid THEN b - a END AS difference, CASE WHEN valid AND a > 0 THEN (b - a) / a END AS relative_difference FROM pv")
@@ -173,8 +173,8 @@ _METRICS = """COUNT(b - a) AS comparable_rows, CAST(COALESCE(SUM((a > 0)::INT),0
 
 
 @query(
-    f"""WITH {_PAIRS}, smp AS (SELECT 'available_pairs' AS sample, * FROM pv WHERE valid UNION ALL SELECT 'common_all_offsets' AS sample, * FROM pv WHERE common),
- grid AS (SELECT s.sample, o.offset_, y.yr, 'all' AS population FROM (VALUES ('available_pairs'),('common_all_offsets')) s(sample), (VALUES (-2),(-1),(0),(1)) o(offset_), (SELECT 'all' AS yr UNION ALL SELECT DISTINCT CAST(year AS VARCHAR) FROM lft) y),
+    f"""WITH {_PAIRS}, smp AS (SELECT 'available_pairs' AS sample, * FROM pv WHERE valid UNION ALL SELECT 'common_all_offsets' AS sample, * FROM pv WHERE common UNION ALL SELECT 'scope_screened_available', * FROM pv WHERE clear_ UNION ALL SELECT 'scope_screened_common_all_offsets', * FROM pv WHERE clear_common),
+ grid AS (SELECT s.sample, o.offset_, y.yr, 'all' AS population FROM (VALUES ('available_pairs'),('common_all_offsets'),('scope_screened_available'),('scope_screened_common_all_offsets')) s(sample), (VALUES (-2),(-1),(0),(1)) o(offset_), (SELECT 'all' AS yr UNION ALL SELECT DISTINCT CAST(year AS VARCHAR) FROM lft) y),
  agg AS (SELECT sample, offset_, CASE WHEN GROUPING(year) = 1 THEN 'all' ELSE CAST(year AS VARCHAR) END AS yr, CASE WHEN GROUPING(population) = 1 THEN 'all' ELSE population END AS population, {_METRICS} FROM smp GROUP BY GROUPING SETS ((sample, offset_), (sample, offset_, year), (sample, offset_, population)))
  SELECT coalesce(g.sample, a.sample) AS sample, CAST(coalesce(g.offset_, a.offset_) AS INTEGER) AS "offset", coalesce(g.yr, a.yr) AS ipeds_year, coalesce(g.population, a.population) AS reporting_population,
  coalesce(comparable_rows,0) AS comparable_rows, coalesce(positive_base_rows,0) AS positive_base_rows, coalesce(zero_base_rows,0) AS zero_base_rows, coalesce(exact_equal_rows,0) AS exact_equal_rows, coalesce(within_1pct_rows,0) AS within_1pct_rows,

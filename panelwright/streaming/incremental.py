@@ -10,31 +10,60 @@ from pyspark.sql import functions as F
 from panelwright.operators.keys import keep_last
 
 
-def refresh(stream: DataFrame, target: str, keys: list[str], order: list[str], checkpoint: str) -> object:
+#: Parts of a refreshed table; a batch rewrites the parts that its keys fall into.
+PARTS = 64
+
+
+def refresh(stream: DataFrame, target: str, keys: list[str], order: list[str], checkpoint: str, parts: int = PARTS) -> object:
     """Keeps the last row of each key in a versioned Parquet table; one new version per batch.
 
-    A batch is merged with the newest version and written beside it, so a reader never sees a
-    half-written table, and a batch that is replayed gives the same rows again.
+    The table is cut into parts by hash of the key.  A batch is merged with the newest version
+    of the parts it touches and only these are written, beside the old ones, so a reader never
+    sees a half-written part, and a batch that is replayed gives the same rows again.  Of each
+    part the version before stays for readers that have begun; older ones are removed.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = latest(spark, target, number)
-        both = old.unionByName(batch) if old is not None else batch
-        keep_last(both, keys, order).write.mode("overwrite").parquet(f"{target}/version={number}")
+        part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+        touched = [r["part"] for r in batch.select(part.alias("part")).distinct().collect()]  # at most ``parts`` numbers
+        held = versions(spark, target, number)
+        old = [held[p][-1] for p in touched if p in held]
+        both = spark.read.parquet(*[path for _, path in old]).unionByName(batch) if old else batch
+        last = keep_last(both, keys, order).withColumn("__part", part)
+        last.repartition("__part").write.partitionBy("__part").mode("overwrite").parquet(f"{target}/version={number}")
+        for p in touched:
+            for _, path in held.get(p, [])[:-1]:
+                gone = spark._jvm.org.apache.hadoop.fs.Path(path)
+                gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest(spark: SparkSession, target: str, below: int | None = None) -> DataFrame | None:
-    """The newest version of a refreshed table (older than ``below``)."""
+def versions(spark: SparkSession, target: str, below: int | None = None) -> dict[int, list[tuple[int, str]]]:
+    """(version, path) of each part of a refreshed table, oldest first (older than ``below``)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[int, list[tuple[int, str]]] = {}
     if not fs.exists(path):
-        return None
-    found = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if s.getPath().getName().startswith("version=")]
-    found = [n for n in found if below is None or n < below]
-    return spark.read.parquet(f"{target}/version={max(found)}") if found else None
+        return out
+    for v in fs.listStatus(path):
+        name = v.getPath().getName()
+        if not name.startswith("version=") or not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(v.getPath(), "_SUCCESS")):
+            continue  # a version that is being written
+        number = int(name.split("=")[1])
+        if below is not None and number >= below:
+            continue
+        for p in fs.listStatus(v.getPath()):
+            if p.getPath().getName().startswith("__part="):
+                out.setdefault(int(p.getPath().getName().split("=")[1]), []).append((number, p.getPath().toString()))
+    return {k: sorted(found) for k, found in out.items()}
+
+
+def latest(spark: SparkSession, target: str, below: int | None = None) -> DataFrame | None:
+    """The newest rows of a refreshed table (older than ``below``), or nothing if it is not there."""
+    held = versions(spark, target, below)
+    return spark.read.parquet(*[found[-1][1] for found in held.values()]) if held else None
 
 
 def windowed_counts(events: DataFrame, time: str, keys: list[str], window: str, late: str) -> DataFrame:

@@ -137,6 +137,8 @@ def test_text(spark):
     assert got[0] == SequenceMatcher(None, *pairs[0]).ratio() and got[1:] == [None, None, 1.0]
     assert apply(spark, ["a", "é", "😀", None], text.utf16_units) == [1, 1, 2, None]
     assert apply(spark, ["aéb", "ab", None], lambda c: text.byte_excerpt(c, 2)) == ["a", "ab", None]
+    assert apply(spark, ["😀😀", "a😀", "", "é" * 50_000], lambda c: text.byte_excerpt(c, 5)) == ["😀", "a😀", "", "éé"]
+    assert apply(spark, ["é"], lambda c: text.byte_excerpt(c, 0)) == [""]
     assert apply(spark, [3.78, 3.779999999999998, 0.1 + 0.2], lambda c: text.fits_15_digits(c), "double") == [True, False, False]
     df = spark.createDataFrame([(1.0, math.nextafter(1.0, 2)), (1.0, 1.1)], "a double, b double")
     assert [r[0] for r in df.select(text.within_one_ulp("a", "b")).collect()] == [True, False]

@@ -343,3 +343,29 @@ def test_joins_prove_that_cells_stay(spark):
 def test_audit_without_lineage(spark):
     d = spark.createDataFrame([(2005, "V", "1", "f", "t")], "year int, variable string, variable_id string, source_file string, access_table_name string")
     assert metadata.source_audit(d, None).collect()[0].source_metadata_status == "lineage_unavailable"
+
+
+def test_crosswalk_sensitivity_and_memberships(spark):
+    sheet = [(2005, "1", "100001", "", "", "", ""), (2006, "1", "100001", "", "", "", ""), (2005, "2", "100002", "100003", "", "", ""), (2006, "2", "100002", "", "", "", ""), (2005, "3", "100004", "", "", "", ""), (2005, "4", "100005", "", "", "", ""), (2006, "4", "100006", "", "", "", ""), (2005, "5", "No match", "", "", "", ""), (2006, "5", "No match", "", "", "", ""), (2005, "6", "100007 | 9", "", "", "", ""), (2006, "6", "100007", "", "", "", "")]
+    rel, rec = linkage.crosswalk(spark.createDataFrame(sheet, "cw_year int, opeid string, ipedsmatch string, addmatch string, ipedsmain string, source string, ipedsrpt string"))
+    p = spark.createDataFrame([(f"0000000{k}", "2005-2006") for k in range(1, 8)] + [(None, None)], "opeid8 string, award_year string")
+    got = {r.opeid8: r.crosswalk_anchor_sensitivity for r in linkage.crosswalk_sensitivity(p, rec, rel).collect()}
+    conflict = "scope_or_identity_conflict"
+    assert got == {"00000001": "stable_unique", "00000002": conflict, "00000003": "year_unavailable", "00000004": conflict, "00000005": "ambiguous_or_unmatched", "00000006": conflict, "00000007": "year_unavailable", None: "year_unavailable"}
+    d = _directory(spark, [(2005, 100001, "00000001", "NY", "1", "1"), (2005, 100009, "00000001", "NY", "1", "1")])
+    resolved = spark.createDataFrame([("00000001", "2005-2006", 2005), ("00000002", "2005-2006", 2005)], "opeid8 string, award_year string, ipeds_year int")
+    m = linkage.memberships(resolved, d, rel)
+    assert rows(m, "opeid8", "unitid", "relation_type") == [
+        ("00000001", 100001, "directory_opeid"), ("00000001", 100001, "primary_match"), ("00000001", 100009, "directory_opeid"), ("00000002", 100002, "primary_match"), ("00000002", 100003, "additional_match"),
+    ]
+    gone = spark.createDataFrame([("00000001", "2005-2006", 100009)], "opeid8 string, award_year string, unitid long")
+    assert linkage.represented(m, gone).count() == 4
+
+
+def test_screened_samples(spark):
+    left = spark.createDataFrame([(1, 2008, 5.0, "p", True, True), (2, 2008, 5.0, "p", True, False), (3, 2008, 5.0, "p", False, True)], "unitid long, year int, a double, population string, ok boolean, clear boolean")
+    right = spark.createDataFrame([(u, 2008, 5.0, "observed", "included_unique_family_record") for u in (1, 2, 3)], "unitid long, award_year_start int, b double, b__status string, record_status string")
+    p = benchmark.pairs(left, right, "a", "b", [0], defined="ok", screened="clear")
+    assert rows(p, "unitid", "valid_pair", "screened_pair") == [(1, True, True), (2, True, False), (3, False, False)]
+    s = {(r["sample"], r.ipeds_year, r.reporting_population): r.comparable_rows for r in benchmark.summary(p, "population", [2008], [0]).collect()}
+    assert s[("available_pairs", "all", "all")] == 2 and s[("scope_screened_available", "all", "all")] == 1 and s[("scope_screened_common_all_offsets", "2008", "all")] == 1
