@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 COLUMNS_AT_ONCE = 64
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _unequal_at(x: Column, y: Column):
     return lambda _, k: ~F.get(x, k).eqNullSafe(F.get(y, k))
 
@@ -32,12 +36,12 @@ def cell_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list[
         groups += [own[i : i + COLUMNS_AT_ONCE] for i in range(0, len(own), COLUMNS_AT_ONCE)]
 
     def packed(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*keys, *[F.array(*[F.col(c) for c in g]).alias(f"{side}{i}") for i, g in enumerate(groups)])
+        return df.select(*keys, *[F.expr(f"array({', '.join(_quoted(c) for c in g)})").alias(f"{side}{i}") for i, g in enumerate(groups)])
 
     j = packed(a, "__a").join(packed(b, "__b"), keys, "full")
     names = []
     for i, g in enumerate(groups):
-        x, y, known = F.col(f"__a{i}"), F.col(f"__b{i}"), F.array(*[F.lit(c) for c in g])
+        x, y, known = F.col(f"__a{i}"), F.col(f"__b{i}"), F.split(F.lit("\0".join(g)), "\0")
         apart = F.filter(known, _unequal_at(x, y))
         names.append(F.when(x.isNull() | y.isNull(), known).when(x.eqNullSafe(y), F.array().cast("array<string>")).otherwise(apart))
     told = F.concat(F.array(F.lit("*")), *names)

@@ -719,19 +719,15 @@ WIDE = 2_000
 )
 def wide_frame_conservation(spark, d):
     """A table of 2,000 columns compared with a copy in which some cells are changed and some are empty."""
-    key = F.col("c_custkey")
     o = table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    cells = [(F.col("c_acctbal") + i) for i in range(WIDE)]
 
-    def copied(c, i):
-        if i % 3 == 0 and i % 7 == 1:
-            return F.when((key + i) % 997 == 0, c - 1).when((key + i) % 1009 != 0, c)
-        if i % 3 == 0:
-            return F.when((key + i) % 997 == 0, c - 1).otherwise(c)
-        return F.when((key + i) % 1009 != 0, c) if i % 7 == 1 else c
+    def copied(i):
+        changed = f"WHEN (c_custkey + {i}) % 997 = 0 THEN c_acctbal + {i} - 1 " if i % 3 == 0 else ""
+        emptied = f"WHEN (c_custkey + {i}) % 1009 = 0 THEN NULL " if i % 7 == 1 else ""
+        return f"CASE {changed}{emptied}ELSE c_acctbal + {i} END AS m{i}" if changed or emptied else f"c_acctbal + {i} AS m{i}"
 
-    wide = o.select("c_custkey", *[c.alias(f"m{i}") for i, c in enumerate(cells)])
-    copy = o.select("c_custkey", *[copied(c, i).alias(f"m{i}") for i, c in enumerate(cells)])
+    wide = o.selectExpr("c_custkey", *[f"c_acctbal + {i} AS m{i}" for i in range(WIDE)])
+    copy = o.selectExpr("c_custkey", *[copied(i) for i in range(WIDE)])
     return conserve.cell_differences(wide, copy, ["c_custkey"])
 
 
