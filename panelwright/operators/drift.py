@@ -460,7 +460,7 @@ def cells_kept(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Cells that are not null per tag, as read and as found in a table of :func:`unified`."""
     before = rows.select(F.explode("cells").alias("c")).where("c.tag IS NOT NULL").groupBy(F.col("c.tag").alias("tag")).agg(F.count(F.lit(1)).alias("n_read"))
     unions = [f.name for f in table.schema.fields if f.dataType.typeName() == "struct"]
-    parts = [F.array(*[F.col(f"`{c}`")["tag"] for c in unions])] if unions else []
+    parts = [F.array(*[F.col("`" + c.replace("`", "``") + "`")["tag"] for c in unions])] if unions else []
     tags = reduce(lambda a, b: F.concat(a, b), [*parts, F.transform("other_fields", lambda x: x["value"]["tag"])])
     after = table.select(F.explode(tags).alias("tag")).where("tag IS NOT NULL").groupBy("tag").agg(F.count(F.lit(1)).alias("n_found"))
     met = before.join(after, "tag", "full")
