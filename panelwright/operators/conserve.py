@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Columns of one type packed into one array, below the limit of code generation.
+#: Columns of one type packed into one array.
 COLUMNS_AT_ONCE = 64
+#: Arrays compared in one join, so that the driver's memory for its plan doesn't grow with the columns.
+ARRAYS_AT_ONCE = 8
 
 
 def _quoted(name: str) -> str:
@@ -21,9 +23,10 @@ def cell_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list[
     """(column, compared_rows, mismatched_cells) of two tables with equal keys.
 
     Cells are equal if both are null, both NaN, or the same value; nothing is rounded.  Rows
-    on one side only count as mismatches of every column.  Types must be equal.  There is one
-    join whatever the number of columns: columns of one type are packed into arrays, arrays
-    that are equal are done, and only the others are taken apart.
+    on one side only count as mismatches of every column.  Types must be equal.  Columns of one
+    type are packed into arrays, arrays that are equal are done, and only the others are taken
+    apart.  ARRAYS_AT_ONCE of them are compared in one join, which runs at once and reads no other
+    columns; so plans and the rows that are sorted are as wide for any number of columns.
     """
     columns = columns or [c for c in a.columns if c not in keys]
     ta, tb = dict(a.dtypes), dict(b.dtypes)
@@ -34,9 +37,20 @@ def cell_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list[
     for kind in dict.fromkeys(ta[c] for c in columns):
         own = [c for c in columns if ta[c] == kind]
         groups += [own[i : i + COLUMNS_AT_ONCE] for i in range(0, len(own), COLUMNS_AT_ONCE)]
+    n_rows, counts = 0, {}
+    for i in range(0, len(groups), ARRAYS_AT_ONCE):
+        told = {r["column"]: r["n"] for r in _unequal(a, b, keys, groups[i : i + ARRAYS_AT_ONCE]).collect()}  # one row per column at most
+        n_rows = told.pop(None, 0)
+        counts |= told
+    return a.sparkSession.createDataFrame([(c, n_rows, counts.get(c, 0)) for c in columns], "column string, compared_rows long, mismatched_cells long")
+
+
+def _unequal(a: DataFrame, b: DataFrame, keys: list[str], groups: list[list[str]]) -> DataFrame:
+    """(column, n): unequal cells of each column that has some, and all rows under null."""
 
     def packed(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*keys, *[F.expr(f"array({', '.join(_quoted(c) for c in g)})").alias(f"{side}{i}") for i, g in enumerate(groups)])
+        # transform() has no generated code, so none is made of its array: for hundreds of columns that takes the driver's memory, and methods too long to be compiled
+        return df.select(*keys, *[F.expr(f"transform(array({', '.join(_quoted(c) for c in g)}), x -> x)").alias(f"{side}{i}") for i, g in enumerate(groups)])
 
     j = packed(a, "__a").join(packed(b, "__b"), keys, "full")
     names = []
@@ -44,12 +58,8 @@ def cell_differences(a: DataFrame, b: DataFrame, keys: list[str], columns: list[
         x, y, known = F.col(f"__a{i}"), F.col(f"__b{i}"), F.split(F.lit("\0".join(g)), "\0")
         apart = F.filter(known, _unequal_at(x, y))
         names.append(F.when(x.isNull() | y.isNull(), known).when(x.eqNullSafe(y), F.array().cast("array<string>")).otherwise(apart))
-    told = F.concat(F.array(F.lit("*")), *names)
-    counts = j.select(F.explode(told).alias("column")).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    every = a.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    total = counts.where("column = '*'").select(F.col("n").alias("compared_rows"))
-    out = every.join(counts.where("column <> '*'"), "column", "left").join(F.broadcast(total), how="left")  # one row
-    return out.select("column", F.coalesce("compared_rows", F.lit(0)).alias("compared_rows"), F.coalesce("n", F.lit(0)).alias("mismatched_cells"))
+    told = F.concat(F.array(F.lit(None).cast("string")), *names)
+    return j.select(F.explode(told).alias("column")).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
 
 
 def sums_kept(a: DataFrame, b: DataFrame, group: str, measures: dict[str, float]) -> DataFrame:

@@ -128,6 +128,21 @@ def test_cell_differences(spark):
     assert conserve.row_bag_hash(a) == conserve.row_bag_hash(a.orderBy(F.desc("k"))) != conserve.row_bag_hash(b)
 
 
+def test_cell_differences_of_wide_tables_compile_no_code_per_column(spark, monkeypatch):
+    """A join takes a bounded number of columns, and its code does not grow with them."""
+    made = []
+    unequal = conserve._unequal
+    monkeypatch.setattr(conserve, "_unequal", lambda *a: made.append((len(a[3]), unequal(*a))) or made[-1][1])
+    a = spark.range(20).selectExpr("id AS k", *[f"id + {i} AS m{i}" for i in range(600)], "id AS `*`")
+    b = spark.range(20).selectExpr("id AS k", *[f"CASE WHEN id = 3 AND {i} % 100 = 0 THEN NULL ELSE id + {i} END AS m{i}" for i in range(600)], "id AS `*`")
+    got = rows(conserve.cell_differences(a, b, ["k"]))
+    assert got == sorted([("*", 20, 0), *[(f"m{i}", 20, int(i % 100 == 0)) for i in range(600)]], key=str)
+    assert [n for n, _ in made] == [8, 2]
+    for _, df in made:
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package").codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        assert max([0, *(len(stages.apply(i)._2()) for i in range(stages.size()))]) < 100_000
+
+
 def test_sums_kept(spark):
     a = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("y", None)], "g string, m double")
     assert all(r.passed for r in conserve.sums_kept(a, a, "g", {"m": 0}).collect())
