@@ -194,7 +194,7 @@ def listing(schema: DataFrame, facts: DataFrame) -> DataFrame:
     columns = known.groupBy(*FILE, "header").agg(F.array_sort(F.collect_set("sheet")).alias("sheets"), F.max("tag").alias("tag"), *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts])
     w = Window.partitionBy("series_id").orderBy("year")
     files = columns.select(*FILE).distinct().withColumn("previous_year", F.lag("year").over(w)).withColumn("next_year", F.lead("year").over(w))
-    return columns.join(files, FILE)
+    return columns.join(files.hint("merge"), FILE)  # its size is unknown before it runs
 
 
 # -- renames ----------------------------------------------------------------------------
@@ -283,7 +283,8 @@ def renames(columns: DataFrame, rows: DataFrame) -> DataFrame:
     now = values.select("series_id", "year", F.col("header").alias("new"), "unit", F.col("value").alias("v"), F.col("number").alias("x"))
     then = values.select("series_id", F.col("year").alias("previous_year"), F.col("header").alias("old"), "unit", F.col("value").alias("u"), F.col("number").alias("y"))
     hits = _agreeing(came.join(now, ["series_id", "year", "new"]), went.join(then, ["series_id", "previous_year", "old"]))
-    alike = came.withColumn("pair", F.explode(_pairs(F.col("w")))).join(went.withColumn("pair", F.explode(_pairs(F.col("z")))), [*key, "pair"])
+    near = went.withColumn("pair", F.explode(_pairs(F.col("z")))).hint("merge")  # many rows for each that the optimiser knows of
+    alike = came.withColumn("pair", F.explode(_pairs(F.col("w")))).join(near, [*key, "pair"])
     alike = alike.select(*key, "old", "new", "z", "w").distinct().where(_likeness() >= ALIKE)
     pairs = cut(hits.join(came, [*key, "new"]).join(went, [*key, "old"]).select(*key, "old", "new", "z", "w").unionByName(alike).distinct())
     measured = pairs.join(now, ["series_id", "year", "new"]).join(then, ["series_id", "previous_year", "old", "unit"])

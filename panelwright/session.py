@@ -7,7 +7,12 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+
+#: Bytes of rows up to which a written table may be broadcast whatever the threshold of its files.
+BROADCAST_BYTES = 16 << 20
 
 _FOLDER: str | None = None
 
@@ -74,6 +79,28 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def _leaves(kind: DataType) -> int:
+    """Atomic values in one value of a type, with one element of each array and map."""
+    if isinstance(kind, StructType):
+        return sum(_leaves(f.dataType) for f in kind.fields)
+    return _leaves(kind.elementType) if isinstance(kind, ArrayType) else 1 + _leaves(kind.valueType) if isinstance(kind, MapType) else 1
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory; 32 for a value in an array, map or struct."""
+    total = F.lit(16).cast("bigint")
+    for f in df.schema.fields:
+        c, kind = F.col("`" + f.name.replace("`", "``") + "`"), f.dataType
+        many = F.greatest(F.lit(0), F.size(c)) if isinstance(kind, (ArrayType, MapType)) else F.lit(1)
+        total += 8 + F.coalesce(F.octet_length(c), F.lit(0)) if isinstance(kind, StringType) else many * 32 * _leaves(kind) if isinstance(kind, (ArrayType, MapType, StructType)) else F.lit(8)
+    return total
+
+
+def _threshold(spark: SparkSession) -> int:
+    """The size of files up to which the optimiser broadcasts a table."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` below the shared checkpoint folder and reads it back: same rows, no lineage.
 
@@ -81,11 +108,17 @@ def cut(df: DataFrame) -> DataFrame:
     optimiser plans on facts; a checkpointed one would carry estimates that, over the rounds of
     an iteration, grow to numbers that take minutes to multiply.  All executors share the
     folder, so one that is lost takes nothing with it.
+
+    Files of columns that repeat may be a hundredth of their rows, and the optimiser knows the
+    files only: a table whose rows are too many to pass through the driver is joined by merging.
     """
     spark = df.sparkSession
     path = f"{_run_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen = Observation()
+    df.observe(seen, F.sum(_row_bytes(df)).alias("bytes")).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    if (seen.get["bytes"] or 0) > max(_threshold(spark), BROADCAST_BYTES):
+        out = out.hint("merge")
     out._written = path
     return out
 

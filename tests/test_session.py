@@ -20,3 +20,15 @@ def test_cut_keeps_rows_and_types(spark):
     assert got.schema.simpleString() == df.schema.simpleString()
     assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
     assert "checkpoint" not in got._jdf.queryExecution().logical().toString().lower()
+
+
+def test_small_files_of_many_rows_do_not_pass_through_the_driver(spark):
+    """A text that repeats takes a bit a row in a file and dozens of bytes in memory; the join is planned by the rows."""
+
+    def plan(n):
+        small = cut(spark.range(n).select((F.col("id") % 7).alias("j"), F.lit("a text that repeats in every row").alias("t")))
+        assert small.count() == n
+        return spark.range(10**7).join(small.where("t <> ''").select(F.col("j").alias("id"), "t"), "id")._jdf.queryExecution().sparkPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(100)
+    assert "BroadcastHashJoin" not in plan(600_000)
